@@ -55,9 +55,9 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
-    """Share of each value in percent. The counts are few, so the total is a second look at them."""
+    """Share of each value in percent; the total is summed from the counts, not the rows."""
     counts = value_counts(df, column)
-    total = df.agg(F.count(column)).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     return counts.select(column, "n", (F.col("n") / total * 100).alias("percentage"))
 
 

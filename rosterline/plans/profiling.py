@@ -90,12 +90,12 @@ def class_weights_query(spark, sf_dir):
 @query("numeric_summary", f"WITH {RAW_PANEL} " + unpivot_sql(
     [*STATS, *DIRTY],
     "'{c}' AS column_name, count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 3) AS std, "
-    "CAST(min({c}) AS DOUBLE) AS min, round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 4) AS q25, "
-    "round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 4) AS q50, "
-    "round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 4) AS q75, CAST(max({c}) AS DOUBLE) AS max", "raw_panel"))
+    "CAST(min({c}) AS DOUBLE) AS min, round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 7) AS q25, "
+    "round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 7) AS q50, "
+    "round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 7) AS q75, CAST(max({c}) AS DOUBLE) AS max", "raw_panel"))
 def numeric_summary(spark, sf_dir):
     got = P.numeric_summary(frames.raw_panel(spark, sf_dir), [*STATS, *DIRTY])
-    return rounded(rounded(got, 4, "mean", "q25", "q50", "q75"), 3, "std")
+    return rounded(rounded(rounded(got, 4, "mean"), 7, "q25", "q50", "q75"), 3, "std")
 
 
 @query("categorical_summary", f"WITH {RAW_PANEL}, vc AS (" + " UNION ALL ".join(
@@ -144,14 +144,14 @@ _BOX = ["pts", "mp", "ast", "stl", "dunksmade"]
     _BOX, "drafted, '{c}' AS feature, {c} AS v", "raw_panel") + """),
 q AS (SELECT drafted, feature, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS q2, quantile_cont(v, 0.75) AS q3
       FROM v GROUP BY drafted, feature)
-SELECT drafted, feature, round(q1, 4) AS q1, round(q2, 4) AS median, round(q3, 4) AS q3,
+SELECT drafted, feature, round(q1, 7) AS q1, round(q2, 7) AS median, round(q3, 7) AS q3,
   min(CASE WHEN v >= q1 - 1.5::DOUBLE*(q3-q1) AND v <= q3 + 1.5::DOUBLE*(q3-q1) THEN v END) AS whisker_low,
   max(CASE WHEN v >= q1 - 1.5::DOUBLE*(q3-q1) AND v <= q3 + 1.5::DOUBLE*(q3-q1) THEN v END) AS whisker_high,
   count(CASE WHEN v < q1 - 1.5::DOUBLE*(q3-q1) OR v > q3 + 1.5::DOUBLE*(q3-q1) THEN 1 END) AS outliers
 FROM v JOIN q USING (drafted, feature) GROUP BY drafted, feature, q1, q2, q3""")
 def boxplot_stats(spark, sf_dir):
     got = P.box_stats(frames.raw_panel(spark, sf_dir), "drafted", _BOX, [0, 1])
-    return rounded(got, 4, "q1", "median", "q3")
+    return rounded(got, 7, "q1", "median", "q3")
 
 
 @query("head_preview", f"WITH {PANEL} SELECT * FROM panel ORDER BY player_id, year LIMIT 5")

@@ -112,3 +112,21 @@ def train_rows(df: DataFrame) -> DataFrame:
 
 def test_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col("year") == TEST_YEAR)
+
+
+def shot_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel with shooting, rebound and rating columns standing in under their usual
+    names; attempts and turnovers are 0 for some rows."""
+    p, s = F.col("player_id"), F.col("year")
+    d = lambda c: c.cast("double")
+    return (
+        panel(spark, sf_dir).withColumnRenamed("gp", "GP")
+        .withColumns({
+            "TPA": d((p + s) % 5), "TPM": d(p % 2), "twoPA": d((p * 3 + s) % 7), "FTA": d(p % 9),
+            "TO_per": F.when((p * 3 + s) % 8 == 0, F.lit(0.0)).otherwise(d((p * 3 + s) % 25)),
+            "treb": d((p * 5 + s) % 12),
+            "ORtg": F.try_divide(F.col("pts"), d(F.col("GP"))),
+            "drtg": F.try_divide(F.col("ast"), d(F.col("GP"))),
+        })
+        .withColumns({"twoPM": F.least(F.col("twoPA"), d(p % 4)), "FTM": F.least(F.col("FTA"), d(s % 6))})
+    )

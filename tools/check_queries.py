@@ -73,7 +73,8 @@ def main() -> int:
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     spark = build_session("local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.ui.enabled": "false"})
+        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(args.sf)
     failed = 0
