@@ -14,9 +14,12 @@ FLOAT_EPS = 2.220446049250313e-16
 # Fixed value: what counts as a number. The same pattern is used in the SQL checks.
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
+# Constants of the key hash: a linear congruential step, its halves swapped, and a second step.
+# The salt changes the multiplier, so hashes under different salts are unrelated.
 HASH_MOD = 2147483648
 HASH_MUL = 1103515245
 HASH_ADD = 12345
+HASH_SALT_STEP = 362436
 
 
 def _months() -> str:
@@ -82,8 +85,10 @@ def finite(c: Column) -> Column:
 def key_hash(key: Column, salt: int = 0) -> Column:
     """A deterministic value in [0, 2**31) from an integer key, in plain arithmetic so that
     any SQL engine can repeat it."""
-    k = F.pmod(key.cast("bigint") + F.lit(salt), F.lit(HASH_MOD))
-    return F.pmod(k * F.lit(HASH_MUL) + F.lit(HASH_ADD), F.lit(HASH_MOD))
+    step = lambda k, mul: F.pmod(k * F.lit(mul) + F.lit(HASH_ADD), F.lit(HASH_MOD))
+    first = step(F.pmod(key.cast("bigint"), F.lit(HASH_MOD)), HASH_MUL + salt * HASH_SALT_STEP)
+    swapped = F.pmod(first, F.lit(65536)) * F.lit(32768) + F.floor(first / F.lit(65536))
+    return step(swapped, HASH_MUL)
 
 
 def hash_bucket(key: Column, buckets: int, salt: int = 0) -> Column:

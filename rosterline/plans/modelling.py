@@ -1 +1,267 @@
-"""Queries."""
+"""Classifier, ensemble and search queries. Settings here are kept small; the operators take
+the full ones as parameters."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, functions as F
+
+from ..functions.scalar import hash_bucket
+from ..operators import ensemble as E, neighbors as N, reduce as R, tune as T
+from ..operators.encode import Scaler, fit_preprocessor
+from ..operators.evaluate import auroc_value
+from ..operators.models import ModelSpec, fit_model, scored
+from ..operators.split import hash_parts, season_key, with_stratified_fold
+from ..session import cached, checkpointed
+from ..sources import frames
+from .registry import query
+
+NUMERIC = ["gp", "blk", "mp", "pts", "ast", "stl"]
+CATEGORICAL = ["conf", "type"]
+KEY = "row_key"
+
+LOGISTIC = ModelSpec("logreg", "logistic", {"max_iter": 30})
+ELASTIC = ModelSpec("elastic", "elasticnet", {"max_iter": 30, "C": 1.0}, balanced=True)
+SVM = ModelSpec("svm", "svm", {"max_iter": 15, "folds": 2})
+FOREST = ModelSpec("forest", "forest", {"trees": 20, "depth": 5})
+GBT = ModelSpec("gbt", "gbt", {"trees": 10, "depth": 3})
+ADA = ModelSpec("ada", "adaboost", {"trees": 6, "checkpoint_every": 3})
+SGD = ModelSpec("sgd", "sgd", {"max_iter": 30})
+
+
+@dataclass
+class Data:
+    """Assembled rows of the training seasons and of the season to score."""
+
+    train: DataFrame
+    test: DataFrame
+
+    def holdout(self) -> tuple[DataFrame, DataFrame]:
+        return hash_parts(self.train, F.col(KEY))
+
+
+def prepare(spark, sf_dir, extra: Sequence[str] = ()) -> Data:
+    """Panel rows with a feature vector fitted on the training seasons. Learners read them many
+    times, so they are checkpointed to the shared folder first."""
+    panel = frames.panel(spark, sf_dir).withColumn("row_key", season_key())
+    with cached(panel) as panel:
+        prep = fit_preprocessor(frames.train_rows(panel), NUMERIC, CATEGORICAL)
+        rows = checkpointed(prep.transform(panel).select(
+            "player_id", "year", "row_key", "drafted", "features", *extra))
+    return Data(frames.train_rows(rows), frames.test_rows(rows))
+
+
+def _ids(df: DataFrame, *columns: str) -> DataFrame:
+    return df.select("player_id", *columns)
+
+
+def _scores(spec: ModelSpec):
+    def run(spark, sf_dir):
+        data = prepare(spark, sf_dir)
+        return _ids(fit_model(spec, data.train).score(data.test), spec.name)
+    return run
+
+
+query("logreg_scores")(_scores(LOGISTIC))
+query("elasticnet_scores")(_scores(ELASTIC))
+query("svm_platt_scores")(_scores(SVM))
+query("rf_scores")(_scores(FOREST))
+query("gbt_scores")(_scores(GBT))
+query("adaboost_scores")(_scores(ADA))
+query("sgd_logreg_scores")(_scores(SGD))
+query("balanced_logreg_scores")(_scores(ModelSpec("balanced", "logistic", {"max_iter": 30}, balanced=True)))
+
+
+@query("gbt_early_stop")
+def gbt_early_stop(spark, sf_dir):
+    data = prepare(spark, sf_dir)
+    rows = data.train.withColumn("held_out", hash_bucket(F.col(KEY), 10, 5) >= 8)
+    spec = GBT.with_params(trees=30, validation="held_out", tol=0.01)
+    return _ids(fit_model(spec, rows).score(data.test), "gbt")
+
+
+# --- ensembles -----------------------------------------------------------------------
+
+@query("ensemble_average")
+def ensemble_average(spark, sf_dir):
+    data = prepare(spark, sf_dir)
+    models = [fit_model(s, data.train) for s in (LOGISTIC, SVM)]
+    return _ids(E.average(scored(data.test, models), ["logreg", "svm"]), "logreg", "svm", "probability")
+
+
+@query("vote_soft")
+def vote_soft(spark, sf_dir):
+    data = prepare(spark, sf_dir)
+    vote = E.Vote([fit_model(s, data.train) for s in (LOGISTIC, FOREST, GBT)])
+    return _ids(vote.score(data.test), "vote")
+
+
+@query("stack_holdout")
+def stack_holdout(spark, sf_dir):
+    data = prepare(spark, sf_dir)
+    return _ids(E.fit_stack_holdout(*data.holdout(), [LOGISTIC, SVM]).score(data.test), "stack")
+
+
+@query("stack_holdout_balanced")
+def stack_holdout_balanced(spark, sf_dir):
+    data = prepare(spark, sf_dir)
+    specs = [ModelSpec(s.name, s.kind, s.params, balanced=True) for s in (LOGISTIC, SVM)]
+    return _ids(E.fit_stack_holdout(*data.holdout(), specs).score(data.test), "stack")
+
+
+@query("stack_holdout_kmeans")
+def stack_holdout_kmeans(spark, sf_dir):
+    """Holdout stack with the distance to the nearest cluster centre as a further feature."""
+    panel = frames.panel(spark, sf_dir).withColumn("row_key", season_key()).dropna(subset=NUMERIC)
+    with cached(panel) as panel:
+        train, _ = hash_parts(frames.train_rows(panel), F.col(KEY))
+        scale = Scaler().fit(train, NUMERIC)
+        z = lambda df: df.withColumns({f"z_{c}": e for c, e in scale.exprs().items()})
+        columns = [f"z_{c}" for c in NUMERIC]
+        model = R.fit_kmeans(z(train), columns, R.best_k(R.silhouette_by_k(z(train), columns, range(2, 5), max_iter=5)))
+        widened = lambda df: R.add_kmeans_distance(z(df), columns, model)
+        prep = fit_preprocessor(widened(train), [*NUMERIC, "kmeans_distance"], CATEGORICAL)
+        rows = checkpointed(prep.transform(widened(panel)).select("player_id", "year", "row_key", "drafted", "features"))
+    data = Data(frames.train_rows(rows), frames.test_rows(rows))
+    return _ids(E.fit_stack_holdout(*data.holdout(), [LOGISTIC, SVM]).score(data.test), "stack")
+
+
+@query("stack_crossfit")
+def stack_crossfit(spark, sf_dir):
+    data = prepare(spark, sf_dir)
+    return _ids(E.fit_stack_crossfit(data.train, [LOGISTIC, FOREST], folds=3).score(data.test), "stack")
+
+
+@query("ensemble_auroc_table")
+def ensemble_auroc_table(spark, sf_dir):
+    """Four bases under both combiners, with the exact area of each on held-out rows."""
+    data = prepare(spark, sf_dir)
+    train, held = data.holdout()
+    specs = [LOGISTIC, SVM, GBT, FOREST]
+    stack = E.fit_stack_crossfit(train, specs, folds=2)
+    models = [*stack.bases, stack, E.Vote(stack.bases)]
+    with cached(held) as held:
+        rows = [(m.name, auroc_value(m.score(held), m.name, "drafted")) for m in models]
+    return spark.createDataFrame(rows, "model string, auroc double")
+
+
+# --- searches ------------------------------------------------------------------------
+
+@query("grid_search_trials")
+def grid_search_trials(spark, sf_dir):
+    data = prepare(spark, sf_dir)
+    rows = with_stratified_fold(data.train, "drafted", F.col(KEY), ["row_key"], folds=3)
+    return T.trial_table(spark, T.search_cv(LOGISTIC, rows, T.grid({"C": [0.01, 1.0, 100.0]}), folds=3))
+
+
+@query("random_search_trials")
+def random_search_trials(spark, sf_dir):
+    data = prepare(spark, sf_dir)
+    rows = with_stratified_fold(data.train, "drafted", F.col(KEY), ["row_key"], folds=2)
+    space = {"rate": T.Choice((0.01, 0.1, 0.3)), "depth": T.Choice((2, 3)), "trees": T.Choice((5, 10))}
+    return T.trial_table(spark, T.search_cv(GBT, rows, T.draws(space, 3), folds=2))
+
+
+@query("space_search_trials")
+def space_search_trials(spark, sf_dir):
+    data = prepare(spark, sf_dir)
+    space = {**T.SPACES["gbt"], "trees": T.QUniform(3, 8), "depth": T.QUniform(2, 3)}
+    return T.trial_table(spark, T.search_holdout(GBT, *data.holdout(), T.draws(space, 3)))
+
+
+# --- tuned stacks --------------------------------------------------------------------
+
+def oversample(train: DataFrame) -> DataFrame:
+    """Training rows with minority rows added in feature space."""
+    size = F.size("x")
+    rows = train.select("row_key", vector_to_array("features").alias("x"), "drafted")
+    more = N.smote(rows, "row_key", "x", "drafted").filter(size > 0)
+    # A made row takes its base row's key, which keeps both in one fold.
+    return more.select("row_key", array_to_vector("x").alias("features"), "drafted")
+
+
+def tuned_stack(data: Data, specs_and_spaces: Sequence[tuple[ModelSpec, dict]], *, trials: int = 2,
+                resample: bool = True, name: str = "stack") -> E.Stack:
+    """Search each base on the validation part, refit it with the best settings, stack. Only
+    training rows are oversampled."""
+    train, validation = data.holdout()
+    rows = checkpointed(oversample(train)) if resample else train
+    bases = []
+    for spec, space in specs_and_spaces:
+        log = T.search_holdout(spec, rows, validation, T.draws(space, trials))
+        bases.append(fit_model(spec.with_params(**T.best_params(log)), rows))
+    return E.fit_stack_holdout(rows, validation, [], bases=bases, name=name)
+
+
+_C = T.SPACES["logistic"]
+_FEW = {"rate": T.LogUniform(-2, 0), "trees": T.QUniform(3, 5)}
+
+
+@query("stack_three_models")
+def stack_three_models(spark, sf_dir):
+    data = prepare(spark, sf_dir)
+    stack = tuned_stack(data, [(LOGISTIC, _C), (GBT, _FEW), (ADA, _FEW)], resample=False)
+    return _ids(stack.score(data.test), "stack")
+
+
+@query("stack_three_models_smote")
+def stack_three_models_smote(spark, sf_dir):
+    data = prepare(spark, sf_dir)
+    return _ids(tuned_stack(data, [(LOGISTIC, _C), (GBT, _FEW), (ADA, _FEW)], trials=1).score(data.test), "stack")
+
+
+@query("stack_two_models_smote")
+def stack_two_models_smote(spark, sf_dir):
+    data = prepare(spark, sf_dir)
+    return _ids(tuned_stack(data, [(LOGISTIC, _C), (SVM, T.SPACES["svm"])]).score(data.test), "stack")
+
+
+@query("stack_grid_tuned")
+def stack_grid_tuned(spark, sf_dir):
+    """Balanced logistic and elastic-net models tuned over folds, then cross-fitted."""
+    data = prepare(spark, sf_dir)
+    rows = checkpointed(with_stratified_fold(data.train, "drafted", F.col(KEY), ["row_key"], folds=2))
+    best = []
+    for spec in (ModelSpec("logreg", "logistic", {"max_iter": 20}, balanced=True), ELASTIC):
+        log = T.search_cv(spec, rows, T.grid({"C": [0.1, 10.0]}), folds=2)
+        best.append(spec.with_params(**T.best_params(log)))
+    return _ids(E.fit_stack_crossfit(rows, best, folds=2).score(data.test), "stack")
+
+
+@query("knn_kmeans_model")
+def knn_kmeans_model(spark, sf_dir):
+    """Nearest-neighbour model on scaled columns and the distance to the nearest cluster centre.
+    One neighbour search per fold, with the largest k, serves every candidate."""
+    panel = frames.panel(spark, sf_dir).withColumn("row_key", season_key()).dropna(subset=NUMERIC)
+    with cached(panel) as panel:
+        train = frames.train_rows(panel)
+        scale = Scaler().fit(train, NUMERIC)
+        z = lambda df: df.withColumns(scale.exprs())
+        model = R.fit_kmeans(z(train), NUMERIC, 3, max_iter=5)
+        widened = lambda df: R.add_kmeans_distance(z(df), NUMERIC, model)
+        again = Scaler().fit(widened(train), ["kmeans_distance"])
+        vector = F.array(*[F.col(c).cast("double") for c in [*NUMERIC, "kmeans_distance"]]).alias("x")
+        rows = checkpointed(again.transform(widened(panel)).select("player_id", "year", "row_key", "drafted", vector))
+    folds = checkpointed(with_stratified_fold(frames.train_rows(rows), "drafted", F.col(KEY), ["row_key"], folds=2))
+    best = best_knn(folds, folds_n=2)
+    found = N.nearest(frames.test_rows(rows), folds, best["k"], q_key="row_key", t_key="row_key", payload="drafted")
+    score = N.knn_scores(found, best["weights"]).withColumnRenamed("query", "row_key")
+    return frames.test_rows(rows).select("player_id", "row_key").join(score, "row_key").select("player_id", "probability")
+
+
+def best_knn(rows: DataFrame, *, folds_n: int, grid=None) -> dict:
+    grid = grid or T.grid(T.GRIDS["knn"])
+    largest = max(p["k"] for p in grid)
+    sums = [0.0] * len(grid)
+    for f in range(folds_n):
+        held = rows.filter(F.col("fold") == f)
+        found = N.nearest(held, rows.filter(F.col("fold") != f), largest, q_key="row_key", t_key="row_key",
+                          payload="drafted")
+        with cached(found) as found, cached(held.select(F.col("row_key").alias("query"), "drafted")) as truth:
+            for i, p in enumerate(grid):
+                got = N.knn_scores(found.filter(F.col("rank") <= p["k"]), p["weights"]).join(truth, "query")
+                sums[i] += auroc_value(got, "probability", "drafted") or 0.0
+    return grid[max(range(len(grid)), key=lambda i: (sums[i], -i))]
