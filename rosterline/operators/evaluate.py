@@ -9,6 +9,7 @@ from pyspark.ml.param.shared import HasLabelCol, HasRawPredictionCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import cached, checkpointed
 from .ranking import ROWS_PER_RANGE, running_totals
 
 
@@ -38,15 +39,17 @@ def score_groups(df: DataFrame, score: str, label: str) -> DataFrame:
 
 
 def auroc(df: DataFrame, score: str, label: str, *, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Exact area under the ROC curve, ties counted half; null when a class is absent."""
-    ranked = running_totals(score_groups(df, score, label), "score", ["neg"], rows_per_range=rows_per_range)
-    below = F.col("cum_neg") - F.col("neg")
-    wins = F.col("pos").cast("double") * (below.cast("double") + F.col("neg").cast("double") * F.lit(0.5))
-    return ranked.agg(
-        F.sum(wins).alias("wins"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
-    ).select(
-        "n_pos", "n_neg",
-        F.try_divide(F.col("wins"), F.col("n_pos").cast("double") * F.col("n_neg").cast("double")).alias("auroc"))
+    """Exact area under the ROC curve, ties counted half; null when a class is absent. The rows
+    are read once: what follows works on one row per distinct score."""
+    with cached(score_groups(df, score, label)) as groups:
+        ranked = running_totals(groups, "score", ["neg"], rows_per_range=rows_per_range)
+        below = F.col("cum_neg") - F.col("neg")
+        wins = F.col("pos").cast("double") * (below.cast("double") + F.col("neg").cast("double") * F.lit(0.5))
+        row = ranked.agg(
+            F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
+            F.try_divide(F.sum(wins), F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auroc"),
+        ).first()
+    return df.sparkSession.createDataFrame([tuple(row)], "n_pos bigint, n_neg bigint, auroc double")
 
 
 def auroc_value(df: DataFrame, score: str, label: str) -> float | None:
@@ -54,8 +57,9 @@ def auroc_value(df: DataFrame, score: str, label: str) -> float | None:
 
 
 def roc_curve(df: DataFrame, score: str, label: str, *, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """One point per distinct score, from the highest down: rates of rows at or above it."""
-    groups = score_groups(df, score, label)
+    """One point per distinct score, from the highest down: rates of rows at or above it. The
+    counts per score are checkpointed, as they are read several times."""
+    groups = checkpointed(score_groups(df, score, label))
     total = groups.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("t")).scalar()
     ranked = running_totals(groups, "score", ["pos", "neg"], descending=True, rows_per_range=rows_per_range)
     return ranked.select(

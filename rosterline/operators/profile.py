@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.scalar import NUMBER_PATTERN
+from ..session import cached
 from ..sources.tables import numeric_columns, string_columns
 from .quantiles import exact_quantiles, value_counts_long
 
@@ -62,17 +63,20 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """count, mean, sample std, min, quartiles and max per numeric column."""
+    """count, mean, sample std, min, quartiles and max per numeric column. The rows are read
+    once; the answer has one row per column."""
     columns = list(columns or numeric_columns(df))
-    cuts = exact_quantiles(df, {c: (F.col(c), [0.25, 0.5, 0.75]) for c in columns})
-    one = df.agg(*[e for c in columns for e in (
-        F.count(c).alias(f"n_{c}"), F.avg(c).alias(f"avg_{c}"), F.stddev_samp(c).alias(f"std_{c}"),
-        F.min(c).cast("double").alias(f"min_{c}"), F.max(c).cast("double").alias(f"max_{c}"))])
-    return to_rows(one, [F.struct(
-        F.lit(c).alias("column_name"), F.col(f"n_{c}").alias("count"), F.col(f"avg_{c}").alias("mean"),
-        F.col(f"std_{c}").alias("std"), F.col(f"min_{c}").alias("min"),
-        *[F.lit(v).cast("double").alias(q) for q, v in zip(("q25", "q50", "q75"), cuts[c])],
-        F.col(f"max_{c}").alias("max")) for c in columns])
+    with cached(df.select(*columns)) as rows:
+        cuts = exact_quantiles(rows, {c: (F.col(c), [0.25, 0.5, 0.75]) for c in columns})
+        stats = rows.agg(*[e for c in columns for e in (
+            F.count(c), F.avg(c), F.stddev_samp(c), F.min(c).cast("double"), F.max(c).cast("double"))]).first()
+    table = []
+    for i, c in enumerate(columns):
+        n, mean, std, low, high = stats[5 * i:5 * i + 5]
+        table.append((c, n, mean, std, low, *cuts[c], high))
+    return df.sparkSession.createDataFrame(
+        table, "column_name string, count bigint, mean double, std double, min double, "
+               "q25 double, q50 double, q75 double, max double")
 
 
 def categorical_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -126,23 +130,20 @@ def box_stats(df: DataFrame, by: str, columns: Sequence[str], groups: Sequence)
     """Box-plot numbers per class of a low-cardinality column: quartiles, whiskers (the most
     extreme values within 1.5 interquartile ranges) and the count outside them."""
     cells = [(g, c) for g in groups for c in columns]
-    member = lambda g, c: F.when(F.col(by) == F.lit(g), F.col(c).cast("double"))
-    cuts = exact_quantiles(df, {f"{i}": (member(g, c), [0.25, 0.5, 0.75]) for i, (g, c) in enumerate(cells)})
-    aggs, meta = [], []
-    for i, (g, c) in enumerate(cells):
-        q1, q2, q3 = cuts[f"{i}"]
-        if q1 is None:
-            continue
-        lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
-        v = member(g, c)
-        inside = (v >= lo) & (v <= hi)
-        aggs += [F.min(F.when(inside, v)).alias(f"lo{i}"), F.max(F.when(inside, v)).alias(f"hi{i}"),
-                 F.count_if(~inside).alias(f"out{i}")]
-        meta.append((i, g, c, q1, q2, q3))
-    return to_rows(df.agg(*aggs), [F.struct(
-        F.lit(g).alias(by), F.lit(c).alias("feature"), F.lit(q1).alias("q1"), F.lit(q2).alias("median"),
-        F.lit(q3).alias("q3"), F.col(f"lo{i}").alias("whisker_low"), F.col(f"hi{i}").alias("whisker_high"),
-        F.col(f"out{i}").alias("outliers")) for i, g, c, q1, q2, q3 in meta])
+    values = [F.when(F.col(by) == F.lit(g), F.col(c).cast("double")) for g, c in cells]
+    with cached(df.select(by, *columns)) as rows:
+        cuts = exact_quantiles(rows, {str(i): (v, [0.25, 0.5, 0.75]) for i, v in enumerate(values)})
+        used = [(i, *cuts[str(i)]) for i in range(len(cells)) if cuts[str(i)][0] is not None]
+        aggs = []
+        for i, q1, _, q3 in used:
+            v, reach = values[i], 1.5 * (q3 - q1)
+            inside = (v >= q1 - reach) & (v <= q3 + reach)
+            aggs += [F.min(F.when(inside, v)), F.max(F.when(inside, v)), F.count_if(~inside)]
+        found = rows.agg(*aggs).first() if aggs else ()
+    table = [(*cells[i], q1, q2, q3, *found[3 * at:3 * at + 3]) for at, (i, q1, q2, q3) in enumerate(used)]
+    return df.sparkSession.createDataFrame(
+        table, f"`{by}` {df.schema[by].dataType.simpleString()}, feature string, q1 double, median double, q3 double, "
+               "whisker_low double, whisker_high double, outliers bigint")
 
 
 def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:

@@ -158,12 +158,25 @@ def one_hot_drop_first(spark, sf_dir):
     return E.fit_one_hot(frames.train_rows(panel), ["conf", "type"]).transform(panel)
 
 
-@query("one_hot_vector")
+def _slots_sql(c: str) -> str:
+    """Categories of the training rows in descending order; the last one has no slot."""
+    return (f"{c}_cats AS (SELECT {c}, row_number() OVER (ORDER BY {c} DESC) - 1 AS slot, count(*) OVER () - 1 AS width "
+            f"FROM (SELECT DISTINCT {c} FROM panel WHERE {TRAIN}))")
+
+
+@query("one_hot_vector", f"""WITH {PANEL}, {_slots_sql('team')}, {_slots_sql('conf')}
+SELECT player_id, year, CAST(CASE WHEN t.slot < t.width THEN t.slot ELSE -1 END AS INTEGER) AS team_slot,
+  CAST((SELECT max(width) FROM team_cats) AS INTEGER) AS team_width,
+  CAST(CASE WHEN c.slot < c.width THEN c.slot ELSE -1 END AS INTEGER) AS conf_slot,
+  CAST((SELECT max(width) FROM conf_cats) AS INTEGER) AS conf_width
+FROM panel LEFT JOIN team_cats t USING (team) LEFT JOIN conf_cats c USING (conf)""")
 def one_hot_vector(spark, sf_dir):
     panel = frames.panel(spark, sf_dir).select("player_id", "year", "team", "conf")
-    model = E.fit_one_hot_vector(frames.train_rows(panel), ["team", "conf"])
-    return model.transform(panel).select(
-        "player_id", "year", *[vector_to_array(f"{c}_hot").alias(f"{c}_hot") for c in ("team", "conf")])
+    hot = E.fit_one_hot_vector(frames.train_rows(panel), ["team", "conf"]).transform(panel)
+    slot = lambda c: (F.array_position(vector_to_array(f"{c}_hot"), 1.0) - 1).cast("int")
+    no_slot = lambda c: F.when(slot(c) < 0, F.lit(-1)).otherwise(slot(c)).alias(f"{c}_slot")
+    width = lambda c: F.size(vector_to_array(f"{c}_hot")).alias(f"{c}_width")
+    return hot.select("player_id", "year", *[e for c in ("team", "conf") for e in (no_slot(c), width(c))])
 
 
 def _scaling(kind, cols):

@@ -14,20 +14,35 @@ TARGET_TOTAL = 900000
 TEST_YEAR = 2001
 
 
-def _money(c: Column | str) -> Column:
-    """Sums over decimal do not depend on the order of the rows."""
-    return F.sum((F.col(c) if isinstance(c, str) else c).cast("decimal(18,4)"))
+# Amounts have four decimals and are summed as whole units, so a sum does not depend on the
+# order of the rows. The units are summed in a high and a low part: two bigint sums stay in
+# generated code and hold some 10**12 rows of one key without overflow.
+UNITS = 10000
+LOW_BITS = 20
+
+
+def _unit_parts(c: Column, name: str) -> list[Column]:
+    units = F.floor(c * UNITS + 0.5)
+    return [F.sum(F.shiftright(units, LOW_BITS)).alias(f"{name}_hi"),
+            F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).alias(f"{name}_lo")]
+
+
+def _units(name: str) -> Column:
+    """The high part scales exactly by a power of two, so the sum is rounded once at most."""
+    return F.col(f"{name}_hi").cast("double") * F.lit(float(1 << LOW_BITS)) + F.col(f"{name}_lo").cast("double")
+
+
+def _amount(name: str) -> Column:
+    return _units(name) / F.lit(float(UNITS))
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem, orders, customer, nation, region = (
         table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "nation", "region"))
     price = F.col("l_extendedprice")
+    measures = {"mp": F.col("l_quantity"), "pts": price, "ast": price * F.col("l_discount"), "stl": price * F.col("l_tax")}
     per_order = lineitem.groupBy("l_orderkey").agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        _money("l_quantity").alias("qty"), _money("l_extendedprice").alias("price"),
-        _money(price * F.col("l_discount")).alias("disc"), _money(price * F.col("l_tax")).alias("tax"),
-    )
+        F.count(F.lit(1)).alias("n_lines"), *[p for name, c in measures.items() for p in _unit_parts(c, name)])
     # Aggregate to (customer, year) before touching customer: the join then carries a few
     # rows per customer however many orders one customer has.
     seasons = (
@@ -35,11 +50,9 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .groupBy("o_custkey", "year")
         .agg(
-            F.count(F.lit(1)).alias("gp"),
-            F.sum("n_lines").cast("double").alias("blk"),
-            *[F.sum(c).cast("double").alias(a)
-              for c, a in (("qty", "mp"), ("price", "pts"), ("disc", "ast"), ("tax", "stl"))],
-            _money("o_totalprice").alias("total"),
+            F.count(F.lit(1)).alias("gp"), F.sum("n_lines").cast("double").alias("blk"),
+            *[F.sum(f"{name}_{part}").alias(f"{name}_{part}") for name in measures for part in ("hi", "lo")],
+            *_unit_parts(F.col("o_totalprice"), "total"),
         )
     )
     people = (
@@ -49,9 +62,9 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.col("c_mktsegment").alias("type"))
     )
     return seasons.join(people, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.col("c_custkey").alias("player_id"), "year", "team", "conf", "type", "gp",
-        "blk", "mp", "pts", "ast", "stl",
-        (F.col("total") > TARGET_TOTAL).cast("int").alias("drafted"),
+        F.col("c_custkey").alias("player_id"), "year", "team", "conf", "type", "gp", "blk",
+        *[_amount(name).alias(name) for name in measures],
+        (_units("total") > float(TARGET_TOTAL * UNITS)).cast("int").alias("drafted"),
     )
 
 
