@@ -7,6 +7,7 @@ import itertools
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -155,6 +156,10 @@ def polynomial_features(
     `as_vector` the terms form one vector column, the way to go when there are many."""
     cols = list(columns or numeric_columns(df, [target] if target else []))
     rest = [c for c in df.columns if c not in cols]
+    if as_vector and not (interaction_only or include_bias):
+        expand = [VectorAssembler(inputCols=cols, outputCol="_v"),
+                  PolynomialExpansion(degree=degree, inputCol="_v", outputCol=as_vector)]
+        return expand[1].transform(expand[0].transform(df)).select(*rest, as_vector)
     terms = polynomial_terms(cols, degree, interaction_only, include_bias)
     if as_vector:
         return df.select(*rest, array_to_vector(F.array(*[t for _, t in terms])).alias(as_vector))

@@ -8,6 +8,7 @@ import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 from pyspark.ml import PipelineModel
@@ -18,13 +19,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.scalar import hash_bucket
-from ..session import cached, checkpointed
+from ..session import cached, checkpointed, in_parallel
+from .encode import vector_width
 from .evaluate import with_class_weight
 
 WEIGHT = "_weight"
+CELLS_PER_TASK = 500_000
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class ModelSpec:
     """A learner by kind. C is the inverse regularisation over summed loss; rate, trees, depth,
     gamma, min_child, subsample and colsample are the usual boosting settings."""
@@ -68,6 +71,12 @@ def load_model(spark: SparkSession, path: str):
     return FittedModel(meta["name"], PipelineModel.load(f"{path}/pipeline"))
 
 
+def fewer_tasks(rows: DataFrame, n: int, width: int | None) -> DataFrame:
+    """Merge partitions that hold next to nothing: a learner makes dozens of passes, and each
+    costs a task per partition. Partitions of a fair size are left as they are."""
+    return rows.coalesce(max(1, math.ceil(n * (width or 100) / CELLS_PER_TASK)))
+
+
 def _columns(spec: ModelSpec, features: str, label: str) -> dict[str, str]:
     return {"featuresCol": features, "labelCol": label, "predictionCol": f"{spec.name}_pred",
             "rawPredictionCol": f"{spec.name}_raw"}
@@ -110,6 +119,7 @@ def fit_model(spec: ModelSpec, df: DataFrame, *, features: str = "features", lab
         rows = with_class_weight(rows, label, WEIGHT)
     with cached(rows) as rows:
         n = rows.count()
+        rows = fewer_tasks(rows, n, vector_width(df, features))
         if spec.kind == "svm":
             return _fit_svm(spec, rows, n, features, label, key)
         if spec.kind == "adaboost":
@@ -131,17 +141,20 @@ def _fit_svm(spec: ModelSpec, rows: DataFrame, n: int, features: str, label: str
         **cols, **weight)
     margin = VectorSlicer(inputCol=f"{spec.name}_raw", outputCol=f"{spec.name}_margin", indices=[1])
     fold = hash_bucket(F.col(key), folds, 7)
-    unseen = None
-    for f in range(folds):
-        part = machine(n * (folds - 1) // folds).fit(rows.filter(fold != f)).transform(rows.filter(fold == f))
-        part = margin.transform(part).select(f"{spec.name}_margin", label)
-        unseen = part if unseen is None else unseen.unionByName(part)
+
+    def fit_without(f: int | None):
+        return machine(n).fit(rows) if f is None else machine(n * (folds - 1) // folds).fit(rows.filter(fold != f))
+
+    *parts, final = in_parallel(rows.sparkSession, fit_without, [*range(folds), None])
+    unseen = reduce(DataFrame.unionByName, [
+        margin.transform(m.transform(rows.filter(fold == f))).select(f"{spec.name}_margin", label)
+        for f, m in enumerate(parts)])
     platt = LogisticRegression(
         featuresCol=f"{spec.name}_margin", labelCol=label, predictionCol=f"{spec.name}_label",
         rawPredictionCol=f"{spec.name}_logit", probabilityCol=f"{spec.name}_prob", standardization=False)
     with cached(unseen) as margins:
         calibrated = platt.fit(margins)
-    return FittedModel(spec.name, PipelineModel([machine(n).fit(rows), margin, calibrated]))
+    return FittedModel(spec.name, PipelineModel([final, margin, calibrated]))
 
 
 # --- boosted stumps ------------------------------------------------------------------
@@ -236,6 +249,13 @@ def fit_adaboost(spec: ModelSpec, rows: DataFrame, features: str, label: str) ->
     return AdaBoostModel(spec.name, features, stumps)
 
 
+def fit_models(specs: Sequence[ModelSpec], df: DataFrame, **kw) -> list:
+    """Fit several models on the same rows side by side."""
+    with cached(df) as rows:
+        rows.count()
+        return in_parallel(df.sparkSession, lambda s: fit_model(s, rows, **kw), list(specs))
+
+
 def scored(df: DataFrame, models: Sequence) -> DataFrame:
     """Add every model's probability column; rows stay where they are."""
     for m in models:

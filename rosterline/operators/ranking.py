@@ -61,8 +61,8 @@ def hashed_row_number(
     df: DataFrame, key: Column, tie: Sequence[str], *, strata: str | None = None, salt: int = 0,
     buckets: int | None = None, name: str = "rn", total: str | None = None,
 ) -> DataFrame:
-    """Row number 1..n in order of the key hash (ties by the given columns), over the whole
-    table or within each stratum. A stratum holding most rows is spread over the hash ranges.
+    """Row number 1..n in order of the hash of a unique key (ties by the given columns), over the
+    whole table or within each stratum. A stratum holding most rows is spread over the hash ranges.
     With `total` the stratum size is added as well."""
     buckets = buckets or rank_buckets(df.sparkSession)
     group = [strata] if strata else []
@@ -75,7 +75,8 @@ def hashed_row_number(
                    F.lit(0)).alias("_before"),
         F.sum("_n").over(by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_total"),
     )
-    # Joined on the window's own keys, so the rows are not shuffled again.
-    numbered = b.withColumn("_in", F.row_number().over(inside)).join(sizes, [*group, "_b"])
+    # Joined on the window's own keys, so the rows are not shuffled again. Rows without a stratum
+    # are kept and stay unnumbered.
+    numbered = b.withColumn("_in", F.row_number().over(inside)).join(sizes, [*group, "_b"], "left")
     extra = [F.col("_total").alias(total)] if total else []
     return numbered.select(*df.columns, (F.col("_in") + F.col("_before")).alias(name), *extra)

@@ -13,9 +13,9 @@ from ..functions.scalar import hash_bucket
 from ..operators import ensemble as E, neighbors as N, reduce as R, tune as T
 from ..operators.encode import Scaler, fit_preprocessor
 from ..operators.evaluate import auroc_value
-from ..operators.models import ModelSpec, fit_model, scored
+from ..operators.models import ModelSpec, fit_model, fit_models, scored
 from ..operators.split import hash_parts, season_key, with_stratified_fold
-from ..session import cached, checkpointed
+from ..session import cached, checkpointed, in_parallel
 from ..sources import frames
 from .registry import query
 
@@ -88,14 +88,14 @@ def gbt_early_stop(spark, sf_dir):
 @query("ensemble_average")
 def ensemble_average(spark, sf_dir):
     data = prepare(spark, sf_dir)
-    models = [fit_model(s, data.train) for s in (LOGISTIC, SVM)]
+    models = fit_models((LOGISTIC, SVM), data.train)
     return _ids(E.average(scored(data.test, models), ["logreg", "svm"]), "logreg", "svm", "probability")
 
 
 @query("vote_soft")
 def vote_soft(spark, sf_dir):
     data = prepare(spark, sf_dir)
-    vote = E.Vote([fit_model(s, data.train) for s in (LOGISTIC, FOREST, GBT)])
+    vote = E.Vote(fit_models((LOGISTIC, FOREST, GBT), data.train))
     return _ids(vote.score(data.test), "vote")
 
 
@@ -144,7 +144,8 @@ def ensemble_auroc_table(spark, sf_dir):
     stack = E.fit_stack_crossfit(train, specs, folds=2)
     models = [*stack.bases, stack, E.Vote(stack.bases)]
     with cached(held) as held:
-        rows = [(m.name, auroc_value(m.score(held), m.name, "drafted")) for m in models]
+        held.count()
+        rows = in_parallel(spark, lambda m: (m.name, auroc_value(m.score(held), m.name, "drafted")), models)
     return spark.createDataFrame(rows, "model string, auroc double")
 
 

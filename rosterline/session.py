@@ -5,9 +5,11 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -72,6 +74,17 @@ def cached(df: DataFrame) -> Iterator[DataFrame]:
         df.unpersist()
 
 
+A, B = TypeVar("A"), TypeVar("B")
+
+
+def in_parallel(spark: SparkSession, fn: Callable[[A], B], items: Sequence[A], parallelism: int = 4) -> list[B]:
+    """Run independent Spark work from several driver threads; results in the order of items."""
+    if len(items) < 2 or parallelism < 2:
+        return [fn(i) for i in items]
+    with ThreadPool(min(parallelism, len(items))) as pool:
+        return pool.map(inheritable_thread_target(spark)(fn), items, chunksize=1)
+
+
 def rank_buckets(spark: SparkSession) -> int:
     """How many ranges a whole-table ranking is cut into: grows with the cluster's own
     shuffle width, so no range outgrows a task."""
