@@ -57,15 +57,18 @@ def auroc_value(df: DataFrame, score: str, label: str) -> float | None:
 
 
 def roc_curve(df: DataFrame, score: str, label: str, *, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """One point per distinct score, from the highest down: rates of rows at or above it. The
-    counts per score are checkpointed, as they are read several times."""
+    """One point per distinct score, from the highest down: rates of rows at or above it. It
+    starts at (0, 0) with a threshold one above the highest score. The counts per score are
+    checkpointed, as they are read several times."""
     groups = checkpointed(score_groups(df, score, label))
     total = groups.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("t")).scalar()
     ranked = running_totals(groups, "score", ["pos", "neg"], descending=True, rows_per_range=rows_per_range)
-    return ranked.select(
+    start = groups.agg((F.max("score") + 1.0).alias("threshold")).filter(F.col("threshold").isNotNull()).select(
+        "threshold", F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return start.unionByName(ranked.select(
         F.col("score").alias("threshold"),
         F.try_divide(F.col("cum_neg").cast("double"), total["n"].cast("double")).alias("fpr"),
-        F.try_divide(F.col("cum_pos").cast("double"), total["p"].cast("double")).alias("tpr"))
+        F.try_divide(F.col("cum_pos").cast("double"), total["p"].cast("double")).alias("tpr")))
 
 
 class ExactAuroc(Evaluator, HasLabelCol, HasRawPredictionCol, DefaultParamsReadable, DefaultParamsWritable):

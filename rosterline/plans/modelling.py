@@ -10,7 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scalar import hash_bucket
-from ..operators import ensemble as E, neighbors as N, reduce as R, tune as T
+from ..operators import clean as C, ensemble as E, neighbors as N, reduce as R, tune as T
 from ..operators.encode import Scaler, fit_preprocessor
 from ..operators.evaluate import auroc_value
 from ..operators.models import ModelSpec, fit_model, fit_models, scored
@@ -43,14 +43,15 @@ class Data:
         return hash_parts(self.train, F.col(KEY))
 
 
-def prepare(spark, sf_dir, extra: Sequence[str] = ()) -> Data:
-    """Panel rows with a feature vector fitted on the training seasons. Learners read them many
-    times, so they are checkpointed to the shared folder first."""
+def prepare(spark, sf_dir, *, all_categories: bool = False) -> Data:
+    """Panel rows with a feature vector fitted on the training seasons, over the categories of
+    all seasons if asked for. Learners read them many times, so they are checkpointed to the
+    shared folder first."""
     panel = frames.panel(spark, sf_dir).withColumn("row_key", season_key())
     with cached(panel) as panel:
-        prep = fit_preprocessor(frames.train_rows(panel), NUMERIC, CATEGORICAL)
-        rows = checkpointed(prep.transform(panel).select(
-            "player_id", "year", "row_key", "drafted", "features", *extra))
+        prep = fit_preprocessor(
+            frames.train_rows(panel), NUMERIC, CATEGORICAL, universe=panel if all_categories else None)
+        rows = checkpointed(prep.transform(panel).select("player_id", "year", "row_key", "drafted", "features"))
     return Data(frames.train_rows(rows), frames.test_rows(rows))
 
 
@@ -115,7 +116,8 @@ def stack_holdout_balanced(spark, sf_dir):
 @query("stack_holdout_kmeans")
 def stack_holdout_kmeans(spark, sf_dir):
     """Holdout stack with the distance to the nearest cluster centre as a further feature."""
-    panel = frames.panel(spark, sf_dir).withColumn("row_key", season_key()).dropna(subset=NUMERIC)
+    panel = frames.panel(spark, sf_dir).withColumn("row_key", season_key())
+    panel = C.fill_medians(panel, frames.train_rows(panel), NUMERIC)
     with cached(panel) as panel:
         train, _ = hash_parts(frames.train_rows(panel), F.col(KEY))
         scale = Scaler().fit(train, NUMERIC)
@@ -236,7 +238,8 @@ def stack_grid_tuned(spark, sf_dir):
 def knn_kmeans_model(spark, sf_dir):
     """Nearest-neighbour model on scaled columns and the distance to the nearest cluster centre.
     One neighbour search per fold, with the largest k, serves every candidate."""
-    panel = frames.panel(spark, sf_dir).withColumn("row_key", season_key()).dropna(subset=NUMERIC)
+    panel = frames.panel(spark, sf_dir).withColumn("row_key", season_key())
+    panel = C.fill_medians(panel, frames.train_rows(panel), NUMERIC)
     with cached(panel) as panel:
         train = frames.train_rows(panel)
         scale = Scaler().fit(train, NUMERIC)
@@ -262,7 +265,11 @@ def best_knn(rows: DataFrame, *, folds_n: int, grid=None) -> dict:
         found = N.nearest(held, rows.filter(F.col("fold") != f), largest, q_key="row_key", t_key="row_key",
                           payload="drafted")
         with cached(found) as found, cached(held.select(F.col("row_key").alias("query"), "drafted")) as truth:
-            for i, p in enumerate(grid):
+            found.count(), truth.count()
+
+            def area(p: dict) -> float:
                 got = N.knn_scores(found.filter(F.col("rank") <= p["k"]), p["weights"]).join(truth, "query")
-                sums[i] += auroc_value(got, "probability", "drafted") or 0.0
+                return auroc_value(got, "probability", "drafted") or 0.0
+
+            sums = [a + b for a, b in zip(sums, in_parallel(rows.sparkSession, area, grid))]
     return grid[max(range(len(grid)), key=lambda i: (sums[i], -i))]

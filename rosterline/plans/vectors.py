@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import anomaly as A, evaluate as V, neighbors as N, reduce as R, select as S
+from ..operators import anomaly as A, clean as C, evaluate as V, neighbors as N, reduce as R, select as S
 from ..operators.encode import Scaler, fit_preprocessor
 from ..operators.split import season_key
 from ..sources import frames
@@ -38,7 +38,8 @@ def auroc(spark, sf_dir):
 @query("roc_curve", f"""WITH {PANEL}, g AS ({_groups('mp')})
 SELECT score AS threshold, round(CAST(sum(neg) OVER w AS DOUBLE) / (SELECT sum(neg) FROM g), 9) AS fpr,
        round(CAST(sum(pos) OVER w AS DOUBLE) / (SELECT sum(pos) FROM g), 9) AS tpr
-FROM g WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING)""")
+FROM g WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING)
+UNION ALL SELECT max(score) + 1, 0.0::DOUBLE, 0.0::DOUBLE FROM g""")
 def roc_curve(spark, sf_dir):
     return rounded(V.roc_curve(frames.panel(spark, sf_dir), "mp", "drafted"), 9, "fpr", "tpr")
 
@@ -170,7 +171,9 @@ def silhouette_exact(spark, sf_dir):
 
 
 def _complete(spark, sf_dir):
-    return frames.panel(spark, sf_dir).dropna(subset=NUMERIC).withColumns({c: F.col(c).cast("double") for c in NUMERIC})
+    panel = frames.panel(spark, sf_dir)
+    filled = C.fill_medians(panel, frames.train_rows(panel), NUMERIC)
+    return filled.withColumns({c: F.col(c).cast("double") for c in NUMERIC})
 
 
 def _standard(spark, sf_dir):

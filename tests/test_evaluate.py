@@ -40,7 +40,8 @@ def test_roc_curve_across_ranges(spark):
     many = V.roc_curve(frame(spark, scores, labels, 5), "s", "y", rows_per_range=5).orderBy(F.desc("threshold")).collect()
     assert one == many
     assert (one[-1].fpr, one[-1].tpr) == (1.0, 1.0)
-    fpr, tpr = [0.0, *(r.fpr for r in one)], [0.0, *(r.tpr for r in one)]
+    assert (one[0].fpr, one[0].tpr) == (0.0, 0.0)
+    fpr, tpr = [r.fpr for r in one], [r.tpr for r in one]
     assert np.trapezoid(tpr, fpr) == pytest.approx(brute(scores, labels))
 
 
