@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, packing, sentencepieces, sharding, simhash, triecounts
+from . import exact, idstore, packing, pii, quality, repeats, sentencepieces, sharding, simhash, triecounts
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,7 +21,11 @@ QUERIES: dict[str, Query] = {
     "op2_sentencepiece": over_documents(sentencepieces.piece_digests),
     "op3_difference_packing": over_documents(packing.packed_pieces),
     "op4_trie_token_counts": over_documents(triecounts.token_counts),
+    "op5_rule_ledger": over_documents(quality.verdicts),
     "op6_simhash_ball": over_documents(simhash.near_duplicates),
+    "op7_perfect_hash_store": over_documents(idstore.id_report),
+    "op8_context_extraction": over_documents(pii.private_spans),
+    "op9_suffix_dedup": over_documents(repeats.removal_report),
     "op10_exact_refinement": over_documents(exact.exact_groups),
 }
 ORACLE: dict[str, str] = {

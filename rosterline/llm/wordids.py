@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from itertools import chain
 
 import numpy as np
@@ -39,10 +40,9 @@ class WordEncoder:
         split = [p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         self.pattern = regex.compile(split[0]["pattern"]["Regex"])
         self.marks = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)")
-        # The same model for words that are cut and lower-cased already.
-        rest = [p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] != "Split"]
-        self.bare = Tokenizer.from_str(json.dumps(spec | {
-            "normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": rest}}))
+        # The model reads bytes as characters: those that print as themselves, the others from 256 on.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.to_bytes = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in shown)}
         self.forget()
         if e != [*a, *c, *b, *self.lib.encode("abéa", add_special_tokens=False).ids] or \
                 self.by_model(["éa"])["éa"] != np.array(d, WIDE).tobytes():
@@ -62,24 +62,24 @@ class WordEncoder:
         return found
 
     def by_model(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words as the pattern cuts them."""
-        found: dict[str, bytes] = {}
-        for at in range(0, len(words), 4096):
-            some = words[at:at + 4096]
-            e = self.bare.encode(some, is_pretokenized=True, add_special_tokens=False)
-            raw = np.array(e.ids, WIDE).tobytes()
-            ends = (4 * np.cumsum(np.bincount(e.word_ids, minlength=len(some)))).tolist()
-            found.update(zip(some, (raw[a:b] for a, b in zip([0, *ends], ends)), strict=True))
-        return found
+        """Ids of words as the pattern cuts them, by the tokenizer's model alone."""
+        tokenize, to_bytes = self.lib.model.tokenize, self.to_bytes
+        return {w: array("I", [t.id for t in tokenize(
+            w if w.isascii() else w.encode().decode("latin-1").translate(to_bytes))]).tobytes() for w in words}
 
     def learn(self, parts: list[str]) -> dict[str, bytes]:
         """Ids of distinct parts."""
         words, plain, marked = self.words, PLAIN.fullmatch, self.marks.search
-        cut = {p: self.pattern.findall(p.lower()) for p in parts if plain(p) and not marked(p)}
-        words.update(self.by_model(list(set(chain.from_iterable(cut.values())).difference(words))))
-        found = self.by_library([p for p in parts if p not in cut])
+        some = [p for p in parts if plain(p)]
+        one = {p: p.lower() for p in some if p.isalpha()}  # a letter run is one word of the pattern
+        cut = {p: self.pattern.findall(p.lower()) for p in some if p not in one and not marked(p)}
+        need = set(one.values())
+        need.update(chain.from_iterable(cut.values()))
+        words.update(self.by_model(list(need.difference(words))))
+        found = self.by_library([p for p in parts if p not in one and p not in cut])
+        found.update(zip(one, map(words.__getitem__, one.values()), strict=True))
         for p, own in cut.items():
-            found[p] = words[own[0]] if len(own) == 1 else b"".join(map(words.__getitem__, own))
+            found[p] = b"".join(map(words.__getitem__, own))
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -87,14 +87,13 @@ class WordEncoder:
         if len(self.known) > self.keep:
             self.forget()
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        fresh = set(chain.from_iterable(split)).difference(self.known)
-        found = self.learn(list(fresh))
-        table = self.known
-        if max(map(len, fresh), default=0) <= KEEP_LENGTH:
-            table.update(found)
-        else:
-            table.update((p, ids) for p, ids in found.items() if len(p) <= KEEP_LENGTH)
-            table = table | found
+        # Most words occur often in these texts: they are looked up in a table that a processor's cache holds.
+        here = set(chain.from_iterable(split))
+        table = dict(zip(here, map(self.known.get, here), strict=True))
+        found = self.learn([p for p, ids in table.items() if ids is None])
+        table.update(found)
+        self.known.update(found if max(map(len, found), default=0) <= KEEP_LENGTH else
+                          {p: ids for p, ids in found.items() if len(p) <= KEEP_LENGTH})
         return [b"".join(map(table.__getitem__, parts)) for parts in split]
 
 
