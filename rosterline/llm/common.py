@@ -53,22 +53,30 @@ def without_rows(docs: DataFrame, keys: Sequence[Column], dropped: DataFrame) ->
     return marked.join(gone, cond, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """(node, label): the smallest node reachable. edges has long columns a and b, each link once, in any direction.
-
-    Each round a node takes the smallest label among its neighbours', then the label of its label, so paths halve.
-    Labels are written each round. Nothing is collected but one count a round."""
-    both = materialize(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
-    labels = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(
-        F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
+def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """(node, label): the smallest node reachable. edges has long columns a and b.
+
+    Each round every node hooks onto its smallest neighbour if that is smaller, hooks are followed one step on, and
+    the links are redrawn between the nodes hooked onto, without those that have become one. So the links shrink round
+    by round. Tables are written each round; the driver learns whether links are left, and nothing else."""
+    live = materialize(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+                       .filter("a < b").distinct(), "links")
+    labels = None
     for _ in range(max_rounds):
-        seen = both.join(labels.select(F.col("node").alias("b"), "label"), "b") \
-            .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        lower = labels.join(seen, "node").select("node", "label", F.least("label", "near").alias("to"))
-        hop = lower.select(F.col("node").alias("to"), F.col("to").alias("far"))
-        after = materialize(lower.join(hop, "to").select("node", "label", F.least("to", "far").alias("to")), "labels")
-        moved = after.filter("to < label").limit(1).count()
-        labels = after.select("node", F.col("to").alias("label"))
-        if not moved:
+        both = live.union(live.select("b", "a"))
+        hook = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("to"))
+                           .select("node", F.least("node", "to").alias("to")), "hooks")
+        onward = hook.select(F.col("node").alias("to"), F.col("to").alias("far"))
+        jump = materialize(hook.join(onward, "to").select("node", F.col("far").alias("to")), "jumps")
+        if labels is None:
+            labels = jump.select("node", F.col("to").alias("label"))
+        else:
+            on = jump.select(F.col("node").alias("label"), "to")
+            labels = labels.join(on, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+        ends = [jump.select(F.col("node").alias(c), F.col("to").alias(f"_{c}")) for c in "ab"]
+        live = materialize(live.join(ends[0], "a").join(ends[1], "b").filter("_a != _b")
+                           .select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct(), "links")
+        if not live.limit(1).count():
             return labels
-    raise RuntimeError(f"labels still moved after {max_rounds} rounds")
+        labels = materialize(labels, "labels")
+    raise RuntimeError(f"links are left after {max_rounds} rounds")

@@ -86,7 +86,8 @@ def links(fps: DataFrame) -> DataFrame:
 
     company = materialize(halves().groupBy("half", "value").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi"))
                           .filter("lo < hi").select("half", "value"), "company")
-    met = halves().join(company, ["half", "value"])
+    # Always by shuffle, also where the table is small: the plan that is tried is the one that runs at any size.
+    met = halves().join(company.hint("merge"), ["half", "value"])
     # The other half completes the point: within 2 bits if this one is unchanged, within 1 otherwise.
     rest = F.lit(None).cast("array<long>")
     for half in (0, 1):
