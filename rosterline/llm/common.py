@@ -43,14 +43,19 @@ def text_keys(text: str) -> list[Column]:
     return [F.xxhash64(filled).alias("_k1"), F.xxhash64(F.lit(1), filled).alias("_k2")]
 
 
+def row_of(docs: DataFrame) -> Column:
+    """The whole row as one column `_row`, next to which other columns can have any name."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+
+
 def without_rows(docs: DataFrame, keys: Sequence[Column], dropped: DataFrame) -> DataFrame:
     """The rows of docs whose keys aren't among the dropped; dropped has a column per key, in that order. Null keys
     compare as equal."""
     names = [f"_d{i}" for i in range(len(keys))]
     gone = dropped.toDF(*names)
-    marked = docs.select("*", *[k.alias(f"_q{i}") for i, k in enumerate(keys)])
+    marked = docs.select(row_of(docs), *[k.alias(f"_q{i}") for i, k in enumerate(keys)])
     cond = [marked[f"_q{i}"].eqNullSafe(gone[n]) for i, n in enumerate(names)]
-    return marked.join(gone, cond, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return marked.join(gone, cond, "left_anti").select("_row.*")
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import ascii_lower, materialize, without_rows
+from .common import ascii_lower, materialize, row_of, without_rows
 
 PREFIX = 128
 
@@ -60,8 +60,7 @@ def drop_exact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     rest = without_rows(docs, keys, without_rows(gone, [F.col(n) for n in names], twice))
     if not twice.limit(1).count():
         return rest
-    marked = rest.select("*", *[k.alias(f"_q{i}") for i, k in enumerate(keys)])
+    marked = rest.select(row_of(rest), *[k.alias(f"_q{i}") for i, k in enumerate(keys)])
     cond = marked["_q0"].eqNullSafe(twice["doc_id"]) & (marked["_q1"] == twice["text_sha256"])
-    again = marked.join(twice, cond, "left_semi").groupBy("_q0", "_q1") \
-        .agg(F.max(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_r")).select("_r.*")
+    again = marked.join(twice, cond, "left_semi").groupBy("_q0", "_q1").agg(F.max("_row").alias("_row")).select("_row.*")
     return without_rows(rest, keys, twice).unionByName(again)

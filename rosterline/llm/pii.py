@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import materialize, text_keys
+from .common import materialize, row_of, text_keys
 
 KINDS = ["email", "ip", "card", "phone"]
 ADDED = "context"
@@ -193,15 +193,15 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars")
     spans = all_spans(rows, "_row").select("_k1", "_k2", F.sort_array(F.concat(*kinds)).alias("_spans")) \
         .filter(F.size("_spans") > 0)
     spans = materialize(spans.groupBy("_k1", "_k2").agg(F.first("_spans").alias("_spans")), "redactions")
-    keyed = docs.select("*", *text_keys(f"`{text}`")).join(spans, ["_k1", "_k2"], "left")
-    t = F.col(f"`{text}`")
-    clean = F.when(F.col("_spans").isNull(), t).otherwise(redacted(t, F.col("_spans")))
-    out = keyed.withColumn("_clean", clean)
-    column = {text: F.col("_clean")}
-    if length and length in docs.columns:
-        column[length] = F.when(F.col("_spans").isNull(), F.col(f"`{length}`")).otherwise(
-            F.char_length("_clean").cast(docs.schema[length].dataType))
-    return out.select(*[column.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    keyed = docs.select(row_of(docs), *text_keys(f"`{text}`"), F.col(f"`{text}`").alias("_text")) \
+        .join(spans, ["_k1", "_k2"], "left")
+    hit = F.col("_spans").isNotNull()
+    clean = keyed.withColumn("_text", F.when(hit, redacted(F.col("_text"), F.col("_spans"))).otherwise(F.col("_text")))
+    column = {c: F.col(f"_row.`{c}`") for c in docs.columns}
+    column[text] = F.col("_text")
+    if length in column:
+        column[length] = F.when(hit, F.char_length("_text").cast(docs.schema[length].dataType)).otherwise(column[length])
+    return clean.select(*[c.alias(name) for name, c in column.items()])
 
 
 def _with_kind(name: str):

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import SPACES
+from .common import SPACES, row_of
 
 SYMBOLS = "[#*$%&|<>]"
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
@@ -119,5 +119,5 @@ def verdicts(docs: DataFrame, key: str = "doc_id", text: str = "text", policy: P
 
 def keep_good(docs: DataFrame, text: str = "text", policy: Policy = CURRENT) -> DataFrame:
     """The rows that pass, with their columns."""
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"))
+    whole = docs.select(row_of(docs), F.col(f"`{text}`").alias("_text"))
     return ledger(whole, ["_row"], "_text").filter(passes(BASE) & passes(policy)).select("_row.*")
