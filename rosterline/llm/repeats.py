@@ -26,7 +26,7 @@ from .suffixes import repeated_starts
 
 GRAM = 32
 SHARD_BYTES = 1 << 19  # text of a suffix array, on average
-GROUP_BYTES = 1 << 18  # text of an anchor beyond which its windows are counted by hash
+GROUP_BYTES = 1 << 21  # text of an anchor that a task's memory holds (some 170 bytes a byte); beyond, see above
 BATCH_BYTES = 4 << 20
 CHUNK = 4 << 20  # windows of one text that are looked at together
 POSITION_BITS = 24

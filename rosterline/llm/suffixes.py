@@ -17,9 +17,9 @@ def _types(s: np.ndarray) -> np.ndarray:
     """True for S-type. The last symbol is the smallest and occurs once."""
     n = len(s)
     step = np.zeros(n, np.int8)
-    step[:-1] = np.sign(s[1:].astype(np.int64) - s[:-1]).astype(np.int8)
+    step[:-1] = (s[1:] > s[:-1]).astype(np.int8) - (s[1:] < s[:-1])
     step[-1] = 1
-    at = np.where(step != 0, np.arange(n), n)
+    at = np.where(step != 0, np.arange(n, dtype=np.int32), np.int32(n))
     following = np.minimum.accumulate(at[::-1])[::-1]  # where the next step that isn't level is
     return step[following] > 0
 
@@ -28,7 +28,7 @@ def _induce(s: np.ndarray, small: np.ndarray, ends: np.ndarray, order: np.ndarra
     """Suffix array from the leftmost-smaller suffixes in the given order."""
     n, k = len(s), len(ends)
     starts = np.concatenate(([0], ends[:-1]))
-    sa = np.full(n, -1, np.int64)
+    sa = np.full(n, -1, np.int32)
 
     # Leftmost-smaller suffixes at their buckets' ends, kept apart while L-types are induced.
     first = s[order]
@@ -147,12 +147,12 @@ def suffix_array(s: np.ndarray, alphabet: int) -> np.ndarray:
     s = s.astype(np.uint16)
     ends = np.cumsum(np.bincount(s, minlength=alphabet))
     small = _types(s)
-    lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+    lms = (np.flatnonzero(small[1:] & ~small[:-1]) + 1).astype(np.int32)
     rough = _induce(s, small, ends, lms)
     mark = np.zeros(n, bool)
     mark[lms] = True
     lms_sorted = rough[mark[rough]]
-    place = np.empty(n, np.int64)
+    place = np.empty(n, np.int32)
     place[lms] = np.arange(len(lms))
     nxt = np.concatenate((lms[1:], [n - 1]))
     length = (nxt - lms + 1)[place[lms_sorted]]
@@ -172,12 +172,12 @@ def common_prefixes(s: np.ndarray, sa: np.ndarray) -> np.ndarray:
     first), the permuted array of common prefixes. Where the symbols in front of both agree and they stand next to
     each other's predecessors, it is one less than in the place before; only the other places are compared."""
     n = len(s)
-    phi = np.full(n, -1, np.int64)
+    phi = np.full(n, -1, np.int32)
     phi[sa[1:]] = sa[:-1]
-    place = np.arange(n)
+    place = np.arange(n, dtype=np.int32)
     reducible = np.zeros(n, bool)
     reducible[1:] = (phi[1:] > 0) & (phi[1:] == phi[:-1] + 1) & (s[:-1] == s[np.maximum(phi[1:], 1) - 1])
-    plcp = np.zeros(n, np.int64)
+    plcp = np.zeros(n, np.int32)
     open_ = np.flatnonzero(~reducible & (phi >= 0))
     got = np.zeros(len(open_), np.int64)
     who = np.arange(len(open_))
