@@ -31,7 +31,6 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import scratch_path
 from .common import tokenizer_file
-from .sentencepieces import slices
 from .wordids import WIDE, word_encoder
 
 GROUP = 4  # keys for each seed
@@ -137,9 +136,8 @@ def as_uri(path: str) -> str:
 
 def write_store(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text", end_id: int = 1,
                 model: str | None = None, shards: int | None = None) -> None:
-    """Encode the documents and write a store. key is a long; null keys come first, and count
-    as the smallest long. Rows are
-    ranged by key and then by a number of their own, so that many rows of one key are spread over shards."""
+    """Encode the documents and write a store. key is a long; null keys come first, and count as the smallest long.
+    Rows are ranged by key and then by a number of their own, so that many rows of one key are spread over shards."""
     spark = docs.sparkSession
     path = model or tokenizer_file("word_bpe_49k.json")
     folder = as_uri(folder)
@@ -158,12 +156,10 @@ def write_store(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "
 
         def bodies() -> Iterator[bytes]:
             for batch in batches:
-                texts = batch.column(1).to_pylist()
                 keys.append(batch.column(0).to_numpy())
-                for run in slices(texts):
-                    for body in enc.encode([texts[i] for i in run]):
-                        counts.append(len(body) // 4 + 1)
-                        yield np.frombuffer(body + end, WIDE).astype(width).tobytes()
+                for body in enc.bodies(batch.column(1)):
+                    counts.append(len(body) // 4 + 1)
+                    yield np.frombuffer(body + end, WIDE).astype(width).tobytes()
 
         put(folder, f"ids-{shard:05d}.bin", bodies())
         n = np.array(counts, np.int64)

@@ -20,7 +20,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .common import tokenizer_file
-from .sentencepieces import slices
 from .wordids import WIDE, word_encoder
 
 
@@ -143,20 +142,18 @@ def packed_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capa
 
         for batch in batches:
             key_type = batch.column(0).type
-            some, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for run_ in slices(texts):
-                for i, body in zip(run_, enc.encode([texts[i] for i in run_]), strict=True):
-                    body = memoryview(body + end)
-                    total = len(body) // 4
-                    for start, n in cut(total, capacity, piece):
-                        part = body[4 * start:4 * (start + n)]
-                        keys.append(some[i])
-                        rows.append((start, n, zlib.crc32(part), total))
-                        if with_ids:
-                            ids.append(bytes(part))
-                        weight += n if n < capacity else 0
-                        if weight >= block * capacity or len(rows) >= 32 * block:
-                            yield flush()
+            for own, body in zip(batch.column(0).to_pylist(), enc.bodies(batch.column(1)), strict=True):
+                body = memoryview(body + end)
+                total = len(body) // 4
+                for start, n in cut(total, capacity, piece):
+                    part = body[4 * start:4 * (start + n)]
+                    keys.append(own)
+                    rows.append((start, n, zlib.crc32(part), total))
+                    if with_ids:
+                        ids.append(bytes(part))
+                    weight += n if n < capacity else 0
+                    if weight >= block * capacity or len(rows) >= 32 * block:
+                        yield flush()
         if rows:
             yield flush()
 

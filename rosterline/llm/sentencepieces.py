@@ -10,17 +10,17 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import tokenizer_file
+from .parts import SPACE, column_slices, cut_before_spaces
 
-SPACE = "▁"
-PART = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 KEEP_PARTS = 1_000_000
 KEEP_LENGTH = 64
 
@@ -115,9 +115,9 @@ class Encoder:
 
     def __init__(self, path: str, keep: int = KEEP_PARTS):
         self.vocabulary, self.keep = Vocabulary(path), keep
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {"": b""}
 
-    def learn(self, parts: list[str]) -> dict[str, list[int]]:
+    def learn(self, parts: list[str]) -> dict[str, bytes]:
         """Ids of distinct parts, checked against the library."""
         got = {p: self.vocabulary.part(p) for p in parts}
         # The library puts a space in front by itself.
@@ -125,18 +125,27 @@ class Encoder:
         for p, ids in zip(parts, wanted, strict=True):
             if got[p] != ids and p != SPACE:
                 raise AssertionError(f"the library encodes {p!r} as {ids}, not {got[p]}")
-        return got
+        return {p: array("i", ids).tobytes() for p, ids in got.items()}
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of whole texts, without an end id."""
-        split = [PART.findall((" " + t).replace(" ", SPACE)) if t else [] for t in texts]
+    def of_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts, in their order, remembered."""
         if len(self.known) > self.keep:
-            self.known = {}
-        fresh = list(set(chain.from_iterable(split)).difference(self.known))
-        found = self.learn(fresh)
+            self.known = {"": b""}
+        table = dict(zip(parts, map(self.known.get, parts), strict=True))
+        found = self.learn([p for p, ids in table.items() if ids is None])
+        table.update(found)
         self.known.update((p, ids) for p, ids in found.items() if len(p) <= KEEP_LENGTH)
-        table = self.known if all(len(p) <= KEEP_LENGTH for p in fresh) else self.known | found
-        return [list(chain.from_iterable(map(table.__getitem__, parts))) for parts in split]
+        return list(table.values())
+
+    def bodies(self, texts: pa.Array) -> Iterator[list[int]]:
+        """Ids of each text of a column, without an end id."""
+        for some in column_slices(texts):
+            cut = cut_before_spaces(some)
+            ids, ends = cut.joined(self.of_parts(cut.parts), np.dtype(np.int32))
+            yield from (ids[a:b].tolist() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return list(self.bodies(pa.array(texts, pa.string())))
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.vocabulary.lib.decode(ids) if ids else []
@@ -152,22 +161,6 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-SLICE_CHARS = 4_000_000
-
-
-def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[list[int]]:
-    """Indexes of the texts in runs of a bounded total length, a longer text alone."""
-    run, held = [], 0
-    for i, t in enumerate(texts):
-        if run and held + len(t) > most:
-            yield run
-            run, held = [], 0
-        run.append(i)
-        held += len(t)
-    if run:
-        yield run
-
-
 def piece_digests(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str | None = None) -> DataFrame:
     """One row per document: key, n_tokens with the end id, and SHA-256 of the ids and of the decoded text. A null
     text counts as empty; an empty text has the end id alone."""
@@ -176,19 +169,21 @@ def piece_digests(docs: DataFrame, key: str = "doc_id", text: str = "text", mode
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         end = enc.vocabulary.end
-        names: list[str] = []
         digits = [str(i) for i in range(len(enc.vocabulary.pieces))]
+
+        def sha(text: str) -> str:
+            return hashlib.sha256(text.encode()).hexdigest()
+
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
             counts: list[int] = []
-            names, decoded = [], []
-            for run_ in slices(texts):
-                ids = enc.encode([texts[i] for i in run_])
-                for one in ids:
-                    one.append(end)
-                    counts.append(len(one))
-                    names.append(hashlib.sha256(" ".join(map(digits.__getitem__, one)).encode()).hexdigest())
-                decoded += [hashlib.sha256(t.encode()).hexdigest() for t in enc.decode(ids)]
+            names: list[str] = []
+            decoded: list[str] = []
+            for ids in enc.bodies(batch.column(1)):
+                ids.append(end)
+                counts.append(len(ids))
+                names.append(sha(" ".join(map(digits.__getitem__, ids))))
+                decoded.append(sha(enc.vocabulary.lib.decode(ids)))
+            keys = batch.column(0)
             yield pa.RecordBatch.from_arrays(
                 [keys, pa.array(counts, pa.int64()), pa.array(names, pa.string()), pa.array(decoded, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

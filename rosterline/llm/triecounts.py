@@ -10,13 +10,13 @@ stack. Counts at word ends are remembered per worker, up to a bound.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import tokenizer_file
-from .sentencepieces import PART, SPACE, slices
+from .parts import column_slices, cut_before_spaces
 
 KEEP_WORDS = 1_000_000
 KEEP_LENGTH = 64
@@ -56,16 +56,24 @@ class UnigramCounter:
             yield word, -best[-1][1]
             last = word
 
-    def count(self, texts: list[str]) -> list[tuple[int, int]]:
-        """(words, tokens) of each text."""
-        split = [PART.findall((" " + t).replace(" ", SPACE)) if t else [] for t in texts]
+    def of_words(self, words: list[str]) -> list[int]:
+        """Tokens of distinct words, in their order, remembered."""
         if len(self.known) > self.keep:
             self.known = {}
-        fresh = set(chain.from_iterable(split)).difference(self.known)
-        found = dict(self.learn(list(fresh)))
+        table = dict(zip(words, map(self.known.get, words), strict=True))
+        found = dict(self.learn([w for w, n in table.items() if n is None]))
+        table.update(found)
         self.known.update((w, n) for w, n in found.items() if len(w) <= KEEP_LENGTH)
-        table = self.known if all(len(w) <= KEEP_LENGTH for w in fresh) else self.known | found
-        return [(len(words), sum(map(table.__getitem__, words))) for words in split]
+        return list(table.values())
+
+    def count(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(words, tokens) of each text of a column."""
+        words, tokens = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for some in column_slices(texts):
+            cut = cut_before_spaces(some)
+            words.append(cut.summed([w != "" for w in cut.parts]))
+            tokens.append(cut.summed(self.of_words(cut.parts)))
+        return np.concatenate(words), np.concatenate(tokens)
 
 
 def model_scores(path: str) -> dict[str, float]:
@@ -95,11 +103,8 @@ def token_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", model
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(path).count
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            got = [pair for run_ in slices(texts) for pair in count([texts[i] for i in run_])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([w for w, _ in got], pa.int64()), pa.array([n for _, n in got], pa.int64())],
-                names=["doc_id", "n_words", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, count(batch.column(1)))],
+                                             names=["doc_id", "n_words", "n_tokens"])
 
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_words long, n_tokens long")

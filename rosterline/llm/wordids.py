@@ -6,11 +6,15 @@ import json
 import os
 import re
 from array import array
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 import regex
 
+from .parts import column_slices, cut_at_blanks
+
 KEEP_PARTS = 1_500_000
 KEEP_LENGTH = 64
 WIDE = np.dtype("<u4")
@@ -82,19 +86,27 @@ class WordEncoder:
             found[p] = b"".join(map(words.__getitem__, own))
         return found
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
+    def of_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts, in their order, remembered."""
         if len(self.known) > self.keep:
             self.forget()
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        # Most words occur often in these texts: they are looked up in a table that a processor's cache holds.
-        here = set(chain.from_iterable(split))
-        table = dict(zip(here, map(self.known.get, here), strict=True))
+        table = dict(zip(parts, map(self.known.get, parts), strict=True))
         found = self.learn([p for p, ids in table.items() if ids is None])
         table.update(found)
         self.known.update(found if max(map(len, found), default=0) <= KEEP_LENGTH else
                           {p: ids for p, ids in found.items() if len(p) <= KEEP_LENGTH})
-        return [b"".join(map(table.__getitem__, parts)) for parts in split]
+        return list(table.values())
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text."""
+        return list(self.bodies(pa.array(texts, pa.string())))
+
+    def bodies(self, texts: pa.Array) -> Iterator[bytes]:
+        """The same of a column of any length, a bounded number of bytes at a time."""
+        for some in column_slices(texts):
+            cut = cut_at_blanks(some)
+            ids, ends = cut.joined(self.of_parts(cut.parts), WIDE)
+            yield from (ids[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
 
 
 _encoders: dict[str, WordEncoder] = {}
