@@ -86,7 +86,7 @@ def key_hash(key: Column, salt: int = 0) -> Column:
     """A deterministic value in [0, 2**31) from an integer key, in plain arithmetic so that
     any SQL engine can repeat it."""
     step = lambda k, mul: F.pmod(k * F.lit(mul) + F.lit(HASH_ADD), F.lit(HASH_MOD))
-    first = step(F.pmod(key.cast("bigint"), F.lit(HASH_MOD)), HASH_MUL + salt * HASH_SALT_STEP)
+    first = step(F.pmod(key.cast("bigint"), F.lit(HASH_MOD)), (HASH_MUL + salt * HASH_SALT_STEP) % HASH_MOD)
     swapped = F.pmod(first, F.lit(65536)) * F.lit(32768) + F.floor(first / F.lit(65536))
     return step(swapped, HASH_MUL)
 

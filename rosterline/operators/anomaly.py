@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -54,19 +55,39 @@ def _grow(rows: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple]
 
 def tree_samples(df: DataFrame, key: Sequence[str], n: int, trees: int, sample: int, seed: int) -> DataFrame:
     """At most `sample` rows for each tree, chosen by key hash. Rows are thinned to about the
-    sample size before anything is shuffled."""
+    sample size before anything is shuffled. How many trees a row serves is drawn first, from the
+    binomial distribution of as many independent draws; which, only for rows that serve any."""
     rate = min(1.0, (sample + 6.0 * math.sqrt(sample) + 10.0) / max(n, 1))
-    draw = lambda *salt: F.pmod(F.xxhash64(*key, *[F.lit(s) if isinstance(s, int) else s for s in salt]), F.lit(HASH_SPACE))
-    if n > 4 * trees * sample:  # a row rarely serves two trees: one draw decides whether, one where
-        tree = F.pmod(F.xxhash64(*key, F.lit(seed + 1)), F.lit(trees)).cast("int")
-        picked = df.filter(draw(seed) < int(rate * trees * HASH_SPACE)).withColumn("tree", tree)
-    else:
-        wanted = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(seed, t) < int(rate * HASH_SPACE))
-        picked = df.withColumn("tree", F.explode(wanted))
+    chance, below = 0.0, []
+    for m in range(trees):
+        chance += math.comb(trees, m) * rate ** m * (1.0 - rate) ** (trees - m)
+        below.append(min(HASH_SPACE, int(chance * HASH_SPACE)))
+    drawn = F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(HASH_SPACE))
+    number = F.size(F.filter(F.array(*map(F.lit, below)), lambda b: b <= F.col("_u")))
+    turns = F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
+        F.xxhash64(*key, F.lit(seed + 1), t).alias("h"), t.alias("tree"))))
+    picked = df.withColumn("_u", drawn).filter(F.col("_u") >= below[0]).withColumn(
+        "tree", F.explode(F.transform(F.slice(turns, F.lit(1), number), lambda t: t["tree"]))).drop("_u")
     order = Window.partitionBy("tree").orderBy(F.xxhash64(*key, F.col("tree"), F.lit(seed)), *key)
     return picked.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= sample)
 
 
+def _joined(trees: list[np.ndarray]) -> tuple:
+    """All trees as one table of nodes, a leaf leading to itself, and the number of steps that reach every leaf."""
+    sizes = [len(t) for t in trees]
+    first = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(int)
+    nodes = np.concatenate(trees)
+    own = np.arange(len(nodes))
+    shift = np.repeat(first, sizes)
+    leaf = nodes[:, 0] < 0
+    low, high = (np.where(leaf, own, nodes[:, c] + shift).astype(int) for c in (2, 3))
+    steps, at = 0, first
+    while not leaf[at].all():
+        at = np.unique(np.concatenate((low[at], high[at])))
+        steps += 1
+    return first, np.where(leaf, 0, nodes[:, 0]).astype(int), nodes[:, 1], low, high, nodes[:, 4], steps
+
+
 @dataclass
 class IsolationForest:
     columns: list[str]
@@ -79,25 +100,23 @@ class IsolationForest:
         set by trees and sample, not by the data, and is broadcast."""
         trees = [g.sort_values("node")[["feature", "threshold", "low", "high", "depth"]].to_numpy()
                  for _, g in self.nodes.groupby("tree")]
-        shared = df.sparkSession.sparkContext.broadcast(trees)
+        shared = df.sparkSession.sparkContext.broadcast(_joined(trees))
         scale, offset = max(_path_correction(self.sample), 1e-12), self.offset
 
         @F.pandas_udf("double")
         def score(rows: pd.DataFrame) -> pd.Series:
+            roots, feature, threshold, low, high, depth, steps = shared.value
             x = rows.to_numpy(dtype=float)
-            depth = np.zeros(len(x))
-            for t in shared.value:
-                at = np.zeros(len(x), dtype=int)
-                while True:
-                    node = t[at]
-                    live = np.flatnonzero(node[:, 0] >= 0)
-                    if not len(live):
-                        break
-                    step = node[live]
-                    low = x[live, step[:, 0].astype(int)] <= step[:, 1]
-                    at[live] = np.where(low, step[:, 2], step[:, 3]).astype(int)
-                depth += t[at, 4]
-            return pd.Series(-np.exp2(-depth / (len(shared.value) * scale)) - offset)
+            out = np.zeros(len(x))
+            block = max(1, 2_000_000 // max(1, len(roots)))
+            for start in range(0, len(x), block):  # all trees together, a step down at a time
+                part = x[start:start + block]
+                row = np.arange(len(part))[:, None]
+                at = np.broadcast_to(roots, (len(part), len(roots)))
+                for _ in range(steps):
+                    at = np.where(part[row, feature[at]] <= threshold[at], low[at], high[at])
+                out[start:start + block] = depth[at].sum(axis=1)
+            return pd.Series(-np.exp2(-out / (len(roots) * scale)) - offset)
 
         filled = F.struct(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in self.columns])
         return df.withColumn(out, score(filled))
@@ -148,6 +167,11 @@ class OneClassModel:
 
     weights: list[float]
     rho: float
+    converged: bool = True
+
+    def save(self, spark, path: str) -> None:
+        meta = json.dumps({"class": "oneclass", **self.__dict__})
+        spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
 
     def transform(self, df: DataFrame, features: str = "features", out: str = "inlier_score") -> DataFrame:
         check_width(df, len(self.weights), features)
@@ -159,10 +183,16 @@ class OneClassModel:
 
 
 def check_width(df: DataFrame, expected: int, features: str = "features") -> None:
-    """A scorer fitted on vectors of one width must not meet another."""
+    """A scorer fitted on vectors of one width must not meet another. Vectors that carry no
+    attributes are measured, in one aggregation."""
     width = vector_width(df, features)
-    if width is not None and width != expected:
-        raise ValueError(f"feature mismatch: the model expects {expected} features but got {width}")
+    if width is not None:
+        found = {width}
+    else:
+        size = F.size(vector_to_array(F.col(features)))
+        found = {w for w in df.agg(F.min(size), F.max(size)).first() if w is not None}
+    if found - {expected}:
+        raise ValueError(f"feature mismatch: the model expects {expected} features but got {sorted(found)}")
 
 
 def _margin(weights: Sequence[float], features: str):
@@ -175,30 +205,35 @@ def _margin(weights: Sequence[float], features: str):
     return dot(vector_to_array(F.col(features)))
 
 
-def fit_one_class(df: DataFrame, features: str = "features", *, nu: float = 0.1, max_iter: int = 15,
+def fit_one_class(df: DataFrame, features: str = "features", *, nu: float = 0.1, max_iter: int = 200,
                   tol: float = 1e-3) -> OneClassModel:
     """Linear one-class machine. Its solution is the point closest to the origin among the means
     of row sets holding at least a share nu of the rows. Each step finds the mean of the share
     with the lowest margins, one aggregation, and moves to the closest point on the line
-    towards it. Only the weight vector is kept between steps."""
+    towards it. Only the weight vector is kept between steps. The share is cut at the exact
+    quantile. A fit that ends at max_iter says so: it warns, and its model is not `converged`."""
     with cached(df.select(features)) as rows:
         mean = lambda part: part.select(Summarizer.mean(F.col(features)).alias("m")).first()["m"]
         start = mean(rows)
         if start is None:
             raise ValueError("no rows to fit on")
         w = np.asarray(start.toArray())
+        converged = False
         for _ in range(max_iter):
             scored = rows.withColumn("_m", _margin(w, features))
-            cut = scored.agg(F.percentile_approx("_m", nu, 10_000)).first()[0]
+            cut = exact_quantiles(scored, {"m": (F.col("_m"), [nu])})["m"][0]
             worst = np.asarray(mean(scored.filter(F.col("_m") <= F.lit(cut))).toArray())
             step = w - worst
             size = float(step @ step)
             gain = float(w @ step)
             if size < 1e-18 or gain <= tol * max(float(w @ w), 1e-18):
+                converged = True
                 break
             w = w - min(1.0, gain / size) * step
         with cached(rows.select(_margin(w, features).alias("m"))) as margins:
             rho = exact_quantiles(margins, {"m": (F.col("m"), [nu])})["m"][0]
-    return OneClassModel([float(v) for v in w], float(rho))
+    if not converged:
+        warnings.warn(f"the one-class fit stopped after {max_iter} steps", RuntimeWarning, stacklevel=2)
+    return OneClassModel([float(v) for v in w], float(rho), converged)
 
 

@@ -14,6 +14,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..sources.tables import numeric_columns, string_columns
 
 MAX_NAMED_CATEGORIES = 1000
+MAX_INDEXED_CATEGORIES = 1_000_000
+
+
+def check_categories(df: DataFrame, columns: Sequence[str], limit: int) -> None:
+    """Raise if a column has more distinct values than the limit; what follows brings them to the driver."""
+    counts = df.agg(*[F.count_distinct(c) for c in columns]).first()
+    if over := [f"{c} ({n})" for c, n in zip(columns, counts, strict=True) if n > limit]:
+        raise ValueError(f"more than {limit} categories: {', '.join(over)}")
 
 
 @dataclass
@@ -23,6 +31,13 @@ class OneHotModel:
     categories: dict[str, list[str]]
     drop_first: bool = True
 
+    def to_json(self) -> str:
+        return json.dumps({"categories": self.categories, "drop_first": self.drop_first})
+
+    @classmethod
+    def from_json(cls, text: str) -> "OneHotModel":
+        return cls(**json.loads(text))
+
     def indicators(self) -> list[tuple[str, str]]:
         """The (column, value) pair behind each indicator."""
         return [(c, v) for c, values in self.categories.items() for v in values[int(self.drop_first):]]
@@ -34,16 +49,16 @@ class OneHotModel:
         return df.select(*keep, *hot)
 
 
-def fit_one_hot(df: DataFrame, columns: Sequence[str] | None = None, *, drop_first: bool = True) -> OneHotModel:
-    """Named indicator columns suit few categories; beyond the limit use one_hot_vector."""
+def fit_one_hot(df: DataFrame, columns: Sequence[str] | None = None, *, drop_first: bool = True,
+                limit: int = MAX_NAMED_CATEGORIES) -> OneHotModel:
+    """Named indicator columns suit few categories; beyond the limit, for any one column, use
+    one_hot_vector."""
     columns = list(columns or string_columns(df))
     values = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in columns])).alias("r")) \
         .select("r.*").filter(F.col("v").isNotNull()).distinct()
-    limit = MAX_NAMED_CATEGORIES * len(columns)
-    found = values.limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError("too many categories for named columns: use one_hot_vector")
+    check_categories(df, columns, limit)
+    found = values.collect()  # at most limit values a column, as just checked
     return OneHotModel({c: sorted(r["v"] for r in found if r["c"] == c) for c in columns}, drop_first)
 
 
@@ -61,6 +76,7 @@ def one_hot_stages(columns: Sequence[str], *, drop_first: bool = True, suffix: s
 def fit_one_hot_vector(df: DataFrame, columns: Sequence[str], *, drop_first: bool = True) -> PipelineModel:
     """One vector per column, named <column>_hot. With drop_first the alphabetically first
     category, which sits in the last slot, is cut off too."""
+    check_categories(df, columns, MAX_INDEXED_CATEGORIES)  # the indexer keeps them all on the driver
     if not drop_first:
         return Pipeline(stages=one_hot_stages(columns)).fit(df)
     model = Pipeline(stages=one_hot_stages(columns, suffix="_all")).fit(df)

@@ -20,11 +20,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.scalar import hash_bucket
 from ..session import cached, checkpointed, in_parallel
-from .encode import vector_width
 from .evaluate import with_class_weight
 
 WEIGHT = "_weight"
-CELLS_PER_TASK = 500_000
+PARTITIONS = 16
 
 
 @dataclass(frozen=True, eq=False)
@@ -68,13 +67,22 @@ def load_model(spark: SparkSession, path: str):
     meta = load_meta(spark, path)
     if meta["class"] == "adaboost":
         return AdaBoostModel(meta["name"], meta["features"], [Stump(**s) for s in meta["stumps"]])
+    if meta["class"] in ("stack", "vote"):
+        from . import ensemble
+
+        return {"stack": ensemble.Stack, "vote": ensemble.Vote}[meta["class"]].load(spark, path)
+    if meta["class"] == "oneclass":
+        from .anomaly import OneClassModel
+
+        return OneClassModel(**{k: v for k, v in meta.items() if k != "class"})
     return FittedModel(meta["name"], PipelineModel.load(f"{path}/pipeline"))
 
 
-def fewer_tasks(rows: DataFrame, n: int, width: int | None) -> DataFrame:
-    """Merge partitions that hold next to nothing: a learner makes dozens of passes, and each
-    costs a task per partition. Partitions of a fair size are left as they are."""
-    return rows.coalesce(max(1, math.ceil(n * (width or 100) / CELLS_PER_TASK)))
+def settled(rows: DataFrame, by: Sequence[Column], partitions: int = PARTITIONS) -> DataFrame:
+    """The rows in an order that follows from their values alone: learners draw samples and add
+    up per partition, so the result must not depend on how the rows were laid out. The number of
+    partitions is part of a model's settings: raise it with the data, and the draws change."""
+    return rows.repartition(partitions, *by).sortWithinPartitions(*by)
 
 
 def _columns(spec: ModelSpec, features: str, label: str) -> dict[str, str]:
@@ -94,8 +102,10 @@ def estimator(spec: ModelSpec, n: int, features: str = "features", label: str =
         return LogisticRegression(
             elasticNetParam=mix, regParam=reg, maxIter=p.get("max_iter", 100), standardization=False, **cols, **weight)
     if spec.kind == "forest":
+        if p.get("depth", 10) > 30:
+            raise ValueError("a forest's depth can be 30 at most")
         return RandomForestClassifier(
-            numTrees=p.get("trees", 100), maxDepth=min(30, p.get("depth", 10)), seed=p.get("seed", 42),
+            numTrees=p.get("trees", 100), maxDepth=p.get("depth", 10), seed=p.get("seed", 42),
             featureSubsetStrategy="sqrt", **cols, **weight)
     if spec.kind == "gbt":
         stop = {"validationIndicatorCol": p["validation"], "validationTol": p.get("tol", 0.01)} if "validation" in p else {}
@@ -111,15 +121,17 @@ def estimator(spec: ModelSpec, n: int, features: str = "features", label: str =
 
 def fit_model(spec: ModelSpec, df: DataFrame, *, features: str = "features", label: str = "drafted",
               key: str = "row_key"):
-    """Fit one model. The few columns it needs are cached for the passes of the learner."""
+    """Fit one model. The few columns it needs are cached for the passes of the learner, in an
+    order that follows from key and values; a row without a label trains nothing."""
     extra = [spec.params["validation"]] if "validation" in spec.params else []
-    keyed = [key] if spec.kind == "svm" else []
-    rows = df.select(features, F.col(label).cast("double").alias(label), *keyed, *extra)
+    keyed = [key] if key in df.columns else []
+    rows = df.select(features, F.col(label).cast("double").alias(label), *keyed, *extra).filter(F.col(label).isNotNull())
     if spec.balanced:
         rows = with_class_weight(rows, label, WEIGHT)
+    rows = settled(rows, [*map(F.col, keyed), F.xxhash64(vector_to_array(features), F.col(label))],
+                   spec.params.get("partitions", PARTITIONS))
     with cached(rows) as rows:
         n = rows.count()
-        rows = fewer_tasks(rows, n, vector_width(df, features))
         if spec.kind == "svm":
             return _fit_svm(spec, rows, n, features, label, key)
         if spec.kind == "adaboost":

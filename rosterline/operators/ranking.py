@@ -15,18 +15,19 @@ from ..functions.scalar import hash_bucket, key_hash
 from ..session import rank_buckets
 
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 4096
+SKETCH = 1_000_000  # largest accuracy of the sketch that the cut points are taken from
 
 
 def range_edges(df: DataFrame, order: str, rows_per_range: int = ROWS_PER_RANGE) -> list[float]:
-    """Cut points that split the rows into ranges of about the given size."""
+    """Cut points that split the rows into ranges of about the given size; their number follows
+    the rows. NaN is no cut point."""
     n = df.select(F.count(order)).first()[0]
-    ranges = min(MAX_RANGES, -(-n // rows_per_range))
+    ranges = -(-n // rows_per_range)
     if ranges <= 1:
         return []
     probs = [i / ranges for i in range(1, ranges)]
-    cuts = df.select(F.percentile_approx(order, probs, 10 * ranges)).first()[0]
-    return sorted(set(cuts))
+    cuts = df.select(F.percentile_approx(order, probs, min(SKETCH, 10 * ranges))).first()[0]
+    return sorted({c for c in cuts if c == c})
 
 
 def running_totals(
@@ -34,22 +35,23 @@ def running_totals(
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Adds cum_<c>, the total of c over all rows up to and including this one in order of a
-    column without repeats or nulls."""
+    column without repeats or nulls. NaN is above every number."""
     edges = range_edges(df, order, rows_per_range)
     sort = F.col(order).desc() if descending else F.col(order).asc()
-    if not edges:  # one range holds everything, and its size was just checked
-        w = Window.orderBy(sort).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[F.sum(c).over(w).alias(f"cum_{c}") for c in sums])
     inf = float("inf")
-    cut = Bucketizer(splits=[-inf, *edges, inf], inputCol="_o", outputCol="_range")
-    ranged = cut.transform(df.withColumn("_o", F.col(order).cast("double"))).drop("_o")
+    if edges:
+        cut = Bucketizer(splits=[-inf, *(e for e in edges if abs(e) != inf), inf] if len(edges) > 1 or abs(edges[0]) != inf
+                         else [-inf, 0.0, inf], inputCol="_o", outputCol="_range", handleInvalid="keep")
+        ranged = cut.transform(df.withColumn("_o", F.col(order).cast("double"))).drop("_o")
+    else:
+        ranged = df.withColumn("_range", F.lit(0.0))
     inside = Window.partitionBy("_range").orderBy(sort).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.orderBy(F.col("_range").desc() if descending else F.col("_range")) \
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy("_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
         .select("_range", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_b_{c}") for c in sums])
-    )  # at most MAX_RANGES rows
+    )  # a row for each range
     return (
         ranged.select("*", *[F.sum(c).over(inside).alias(f"_in_{c}") for c in sums])
         .join(F.broadcast(offsets), "_range")

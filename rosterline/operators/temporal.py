@@ -17,10 +17,6 @@ def _columns(df: DataFrame, columns: Sequence[str] | None, key: str, order: str,
     return list(columns) if columns else numeric_columns(df, [key, order, *exclude])
 
 
-def _full_window(df: DataFrame, key: str, order: str, window: int):
-    return Window.partitionBy(key).orderBy(order).rowsBetween(1 - window, 0)
-
-
 def rolling_exprs(columns: Sequence[str], key: str, order: str, window: int, stat: str) -> list[Column]:
     """Mean or sample std over the last `window` rows; null until they hold `window` values."""
     w = Window.partitionBy(key).orderBy(order).rowsBetween(1 - window, 0)

@@ -69,7 +69,7 @@ fixed AS (SELECT * REPLACE (coalesce(dunksmade, m) AS dunksmade, coalesce(dunksm
 SELECT player_id, year, round(dunksmade, 6) AS dunksmade, round(dunksmiss_dunksmade, 6) AS dunksmiss_dunksmade,
        round(dunks_ratio, 6) AS dunks_ratio FROM fixed""")
 def ratio_repair(spark, sf_dir):
-    raw = frames.raw_panel(spark, sf_dir)
+    raw = frames.once(frames.raw_panel(spark, sf_dir))
     spec = C.CleanSpec(height_col=None, class_col=None, ratio_specs=C.PRESET_V3.ratio_specs)
     out = C.apply(raw, spec, C.fit(frames.train_rows(raw), spec))
     cols = ["dunksmade", "dunksmiss_dunksmade", "dunks_ratio"]
@@ -86,7 +86,7 @@ def safe_numeric(spark, sf_dir):
 @query("coerce_median", f"""WITH {RAW_PANEL}, n AS (SELECT player_id, year, {number_sql('num')} AS num FROM raw_panel)
 SELECT player_id, year, coalesce(num, (SELECT quantile_cont(num, 0.5) FROM n WHERE {TRAIN})) AS num FROM n""")
 def coerce_median(spark, sf_dir):
-    raw = frames.raw_panel(spark, sf_dir)
+    raw = frames.once(frames.raw_panel(spark, sf_dir))
     spec = C.CleanSpec(height_col=None, class_col=None, number_cols=["num"], median_cols=["num"])
     return C.apply(raw, spec, C.fit(frames.train_rows(raw), spec)).select("player_id", "year", "num")
 
@@ -96,7 +96,7 @@ n AS (SELECT player_id, year, AST_per / nullif(TO_per, 0) AS ast_tov FROM raw_pa
 SELECT player_id, year, round(coalesce(ast_tov, (SELECT quantile_cont(ast_tov, 0.5) FROM n WHERE {TRAIN})), 9) AS ast_tov
 FROM n""")
 def ratio_inf_guard(spark, sf_dir):
-    raw = frames.raw_panel(spark, sf_dir)
+    raw = frames.once(frames.raw_panel(spark, sf_dir))
     spec = C.CleanSpec(height_col=None, class_col=None, guarded_ratios=C.PRESET_V3.guarded_ratios)
     out = C.apply(raw, spec, C.fit(frames.train_rows(raw), spec))
     return rounded(out.select("player_id", "year", "ast_tov"), 9, "ast_tov")
@@ -142,7 +142,7 @@ def _means(columns, source):
 SELECT player_id, year, {_fill({**_medians(['pts', 'dunksmade'], 'parsed'), **_means(['ht', 'mp'], 'parsed')})}
 FROM parsed WHERE year = {frames.TEST_YEAR}""")
 def impute_train_test(spark, sf_dir):
-    raw = frames.raw_panel(spark, sf_dir)
+    raw = frames.once(frames.raw_panel(spark, sf_dir))
     spec = C.CleanSpec(class_col=None, median_cols=["pts", "dunksmade"], mean_cols=["ht", "mp"])
     out = C.apply(frames.test_rows(raw), spec, C.fit(frames.train_rows(raw), spec))
     cols = ["pts", "dunksmade", "ht", "mp"]
@@ -151,7 +151,7 @@ def impute_train_test(spark, sf_dir):
 
 def _preset(name: str):
     def run(spark, sf_dir):
-        raw = frames.raw_panel(spark, sf_dir)
+        raw = frames.once(frames.raw_panel(spark, sf_dir))
         _, stats = C.preprocess(frames.train_rows(raw), name)
         out, _ = C.preprocess(raw, name, stats)
         return rounded(out, 6, *[c for c, t in out.dtypes if t == "double"])

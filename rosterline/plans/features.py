@@ -45,7 +45,7 @@ SELECT player_id, year, ORtg - drtg AS Net_Rating, pts / nullif(twoPA + TPA + 0.
   round(o, 4) AS Team_Avg_ORtg, round(d, 4) AS Team_Avg_DRtg
 FROM shots LEFT JOIN m USING (team)""")
 def fe_rate_pack(spark, sf_dir):
-    out = G.rate_features(frames.shot_panel(spark, sf_dir)).select(
+    out = G.rate_features(frames.once(frames.shot_panel(spark, sf_dir))).select(
         "player_id", "year", "Net_Rating", "Scoring_Efficiency", "Rebound_Rate", "Ast_To_Turnover_Ratio",
         "Stl_To_Turnover_Ratio", "Points_Per_Minute", "Impact_Score", "Versatility_Index",
         "Team_Avg_ORtg", "Team_Avg_DRtg")
@@ -69,7 +69,7 @@ SELECT player_id, year, CASE WHEN defensive_metric <= lo + 1 * ((hi - lo) / 3) T
   WHEN defensive_metric IS NOT NULL THEN 'High' END AS defensive_metric_bin FROM m, e""")
 def equal_width_bins(spark, sf_dir):
     panel = frames.panel(spark, sf_dir).withColumnRenamed("gp", "GP")
-    out = G.defensive_bins(G.defensive_index(panel))
+    out = G.defensive_bins(G.defensive_index(frames.once(panel)))
     return out.select("player_id", "year", "defensive_metric_bin")
 
 
@@ -100,7 +100,7 @@ SELECT player_id, year, """ + ", ".join(
     for a, b in itertools.combinations_with_replacement(["pts", "ast", "stl"], 2)) + """,
   round(pts, 6) AS pts, round(ast, 6) AS ast, round(stl, 6) AS stl FROM z""")
 def scaled_poly(spark, sf_dir):
-    panel = frames.panel(spark, sf_dir).select("player_id", "year", "pts", "ast", "stl")
+    panel = frames.once(frames.panel(spark, sf_dir).select("player_id", "year", "pts", "ast", "stl"))
     cols = ["pts", "ast", "stl"]
     scaled = E.Scaler().fit(frames.train_rows(panel), cols).transform(panel)
     out = G.polynomial_features(scaled, cols)
@@ -123,7 +123,7 @@ SELECT player_id, year, three_point_preference, versatility_index, pts * pts AS
   CASE WHEN defensive_metric <= lo + 1 * ((hi - lo) / 3) THEN 'Low' WHEN defensive_metric <= lo + 2 * ((hi - lo) / 3) THEN 'Medium'
   WHEN defensive_metric IS NOT NULL THEN 'High' END AS defensive_metric_bin FROM r, e""")
 def feature_chain(spark, sf_dir):
-    return G.build_features(frames.shot_panel(spark, sf_dir)).select(
+    return G.build_features(frames.once(frames.shot_panel(spark, sf_dir))).select(
         "player_id", "year", "three_point_preference", "versatility_index", "pts_pts", "defensive_metric_blk",
         "defensive_metric_bin")
 
@@ -138,7 +138,7 @@ SELECT player_id, year, usage_efficiency, def_to_off_ratio, offensive_metric, sc
   CASE WHEN offensive_metric <= a THEN 'low' WHEN offensive_metric <= b THEN 'medium'
        WHEN offensive_metric IS NOT NULL THEN 'high' END AS offensive_metric_bin FROM f, e""")
 def fe_efficiency(spark, sf_dir):
-    out = G.efficiency_features(frames.shot_panel(spark, sf_dir))
+    out = G.efficiency_features(frames.once(frames.shot_panel(spark, sf_dir)))
     return G.quantile_bins(out, "offensive_metric", "offensive_metric_bin").select(
         "player_id", "year", "usage_efficiency", "def_to_off_ratio", "offensive_metric", "scoring_efficiency",
         "offensive_metric_bin")
@@ -154,7 +154,7 @@ _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
     f"CAST(CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS INTEGER) AS \"{c}_{v}\""
     for c, vs in (("conf", _REGIONS[1:]), ("type", _SEGMENTS[1:])) for v in vs) + " FROM panel")
 def one_hot_drop_first(spark, sf_dir):
-    panel = frames.panel(spark, sf_dir).select("player_id", "year", "pts", "conf", "type")
+    panel = frames.once(frames.panel(spark, sf_dir).select("player_id", "year", "pts", "conf", "type"))
     return E.fit_one_hot(frames.train_rows(panel), ["conf", "type"]).transform(panel)
 
 
@@ -171,7 +171,7 @@ SELECT player_id, year, CAST(CASE WHEN t.slot < t.width THEN t.slot ELSE -1 END
   CAST((SELECT max(width) FROM conf_cats) AS INTEGER) AS conf_width
 FROM panel LEFT JOIN team_cats t USING (team) LEFT JOIN conf_cats c USING (conf)""")
 def one_hot_vector(spark, sf_dir):
-    panel = frames.panel(spark, sf_dir).select("player_id", "year", "team", "conf")
+    panel = frames.once(frames.panel(spark, sf_dir).select("player_id", "year", "team", "conf"))
     hot = E.fit_one_hot_vector(frames.train_rows(panel), ["team", "conf"]).transform(panel)
     slot = lambda c: (F.array_position(vector_to_array(f"{c}_hot"), 1.0) - 1).cast("int")
     no_slot = lambda c: F.when(slot(c) < 0, F.lit(-1)).otherwise(slot(c)).alias(f"{c}_slot")
@@ -181,7 +181,7 @@ def one_hot_vector(spark, sf_dir):
 
 def _scaling(kind, cols):
     def run(spark, sf_dir):
-        panel = frames.panel(spark, sf_dir).select("player_id", "year", *cols)
+        panel = frames.once(frames.panel(spark, sf_dir).select("player_id", "year", *cols))
         return rounded(E.Scaler(kind).fit(frames.train_rows(panel), cols).transform(panel), 6, *cols)
     return run
 

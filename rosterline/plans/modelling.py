@@ -1,5 +1,4 @@
-"""Classifier, ensemble and search queries. Settings here are kept small; the operators take
-the full ones as parameters."""
+"""Classifier, ensemble and search queries."""
 
 from __future__ import annotations
 
@@ -23,13 +22,13 @@ NUMERIC = ["gp", "blk", "mp", "pts", "ast", "stl"]
 CATEGORICAL = ["conf", "type"]
 KEY = "row_key"
 
-LOGISTIC = ModelSpec("logreg", "logistic", {"max_iter": 30})
-ELASTIC = ModelSpec("elastic", "elasticnet", {"max_iter": 30, "C": 1.0}, balanced=True)
-SVM = ModelSpec("svm", "svm", {"max_iter": 15, "folds": 2})
-FOREST = ModelSpec("forest", "forest", {"trees": 20, "depth": 5})
-GBT = ModelSpec("gbt", "gbt", {"trees": 10, "depth": 3})
-ADA = ModelSpec("ada", "adaboost", {"trees": 6, "checkpoint_every": 3})
-SGD = ModelSpec("sgd", "sgd", {"max_iter": 30})
+LOGISTIC = ModelSpec("logreg", "logistic")
+ELASTIC = ModelSpec("elastic", "elasticnet", {"C": 1.0}, balanced=True)
+SVM = ModelSpec("svm", "svm")
+FOREST = ModelSpec("forest", "forest")
+GBT = ModelSpec("gbt", "gbt")
+ADA = ModelSpec("ada", "adaboost")
+SGD = ModelSpec("sgd", "sgd")
 
 
 @dataclass
@@ -73,14 +72,14 @@ query("rf_scores")(_scores(FOREST))
 query("gbt_scores")(_scores(GBT))
 query("adaboost_scores")(_scores(ADA))
 query("sgd_logreg_scores")(_scores(SGD))
-query("balanced_logreg_scores")(_scores(ModelSpec("balanced", "logistic", {"max_iter": 30}, balanced=True)))
+query("balanced_logreg_scores")(_scores(ModelSpec("balanced", "logistic", balanced=True)))
 
 
 @query("gbt_early_stop")
 def gbt_early_stop(spark, sf_dir):
     data = prepare(spark, sf_dir)
     rows = data.train.withColumn("held_out", hash_bucket(F.col(KEY), 10, 5) >= 8)
-    spec = GBT.with_params(trees=30, validation="held_out", tol=0.01)
+    spec = GBT.with_params(validation="held_out", tol=0.01)
     return _ids(fit_model(spec, rows).score(data.test), "gbt")
 
 
@@ -96,7 +95,7 @@ def ensemble_average(spark, sf_dir):
 @query("vote_soft")
 def vote_soft(spark, sf_dir):
     data = prepare(spark, sf_dir)
-    vote = E.Vote(fit_models((LOGISTIC, FOREST, GBT), data.train))
+    vote = E.Vote(fit_models((LOGISTIC, SVM, FOREST, GBT), data.train))
     return _ids(vote.score(data.test), "vote")
 
 
@@ -123,7 +122,7 @@ def stack_holdout_kmeans(spark, sf_dir):
         scale = Scaler().fit(train, NUMERIC)
         z = lambda df: df.withColumns({f"z_{c}": e for c, e in scale.exprs().items()})
         columns = [f"z_{c}" for c in NUMERIC]
-        model = R.fit_kmeans(z(train), columns, R.best_k(R.silhouette_by_k(z(train), columns, range(2, 5), max_iter=5)))
+        model = R.fit_kmeans(z(train), columns, R.best_k(R.silhouette_by_k(z(train), columns, range(2, 11))))
         widened = lambda df: R.add_kmeans_distance(z(df), columns, model)
         prep = fit_preprocessor(widened(train), [*NUMERIC, "kmeans_distance"], CATEGORICAL)
         rows = checkpointed(prep.transform(widened(panel)).select("player_id", "year", "row_key", "drafted", "features"))
@@ -134,7 +133,7 @@ def stack_holdout_kmeans(spark, sf_dir):
 @query("stack_crossfit")
 def stack_crossfit(spark, sf_dir):
     data = prepare(spark, sf_dir)
-    return _ids(E.fit_stack_crossfit(data.train, [LOGISTIC, FOREST], folds=3).score(data.test), "stack")
+    return _ids(E.fit_stack_crossfit(data.train, [LOGISTIC, SVM, GBT, FOREST]).score(data.test), "stack")
 
 
 @query("ensemble_auroc_table")
@@ -143,7 +142,7 @@ def ensemble_auroc_table(spark, sf_dir):
     data = prepare(spark, sf_dir)
     train, held = data.holdout()
     specs = [LOGISTIC, SVM, GBT, FOREST]
-    stack = E.fit_stack_crossfit(train, specs, folds=2)
+    stack = E.fit_stack_crossfit(train, specs)
     models = [*stack.bases, stack, E.Vote(stack.bases)]
     with cached(held) as held:
         held.count()
@@ -156,8 +155,8 @@ def ensemble_auroc_table(spark, sf_dir):
 @query("grid_search_trials")
 def grid_search_trials(spark, sf_dir):
     data = prepare(spark, sf_dir)
-    rows = with_stratified_fold(data.train, "drafted", F.col(KEY), ["row_key"], folds=3)
-    return T.trial_table(spark, T.search_cv(LOGISTIC, rows, T.grid({"C": [0.01, 1.0, 100.0]}), folds=3))
+    rows = with_stratified_fold(data.train, "drafted", F.col(KEY), ["row_key"], folds=5)
+    return T.trial_table(spark, T.search_cv(LOGISTIC, rows, T.grid(T.GRIDS["linear"]), folds=5))
 
 
 @query("random_search_trials")
@@ -179,9 +178,9 @@ def space_search_trials(spark, sf_dir):
 
 def oversample(train: DataFrame) -> DataFrame:
     """Training rows with minority rows added in feature space."""
-    size = F.size("x")
-    rows = train.select("row_key", vector_to_array("features").alias("x"), "drafted")
-    more = N.smote(rows, "row_key", "x", "drafted").filter(size > 0)
+    x = vector_to_array("features")
+    whole = F.when(F.size(x) > 0, x).otherwise(F.raise_error(F.lit("a training row has an empty vector")).cast("array<double>"))
+    more = N.smote(train.select("row_key", whole.alias("x"), "drafted"), "row_key", "x", "drafted")
     # A made row takes its base row's key, which keeps both in one fold.
     return more.select("row_key", array_to_vector("x").alias("features"), "drafted")
 
@@ -224,14 +223,14 @@ def stack_two_models_smote(spark, sf_dir):
 
 @query("stack_grid_tuned")
 def stack_grid_tuned(spark, sf_dir):
-    """Balanced logistic and elastic-net models tuned over folds, then cross-fitted."""
+    """Balanced logistic, elastic-net and linear machine tuned over folds, then cross-fitted."""
     data = prepare(spark, sf_dir)
-    rows = checkpointed(with_stratified_fold(data.train, "drafted", F.col(KEY), ["row_key"], folds=2))
+    rows = checkpointed(with_stratified_fold(data.train, "drafted", F.col(KEY), ["row_key"], folds=5))
     best = []
-    for spec in (ModelSpec("logreg", "logistic", {"max_iter": 20}, balanced=True), ELASTIC):
-        log = T.search_cv(spec, rows, T.grid({"C": [0.1, 10.0]}), folds=2)
+    for spec in (ModelSpec("logreg", "logistic", balanced=True), ELASTIC, ModelSpec("svm", "svm", balanced=True)):
+        log = T.search_cv(spec, rows, T.grid(T.GRIDS["linear"]), folds=5)
         best.append(spec.with_params(**T.best_params(log)))
-    return _ids(E.fit_stack_crossfit(rows, best, folds=2).score(data.test), "stack")
+    return _ids(E.fit_stack_crossfit(rows, best).score(data.test), "stack")
 
 
 @query("knn_kmeans_model")
@@ -244,13 +243,13 @@ def knn_kmeans_model(spark, sf_dir):
         train = frames.train_rows(panel)
         scale = Scaler().fit(train, NUMERIC)
         z = lambda df: df.withColumns(scale.exprs())
-        model = R.fit_kmeans(z(train), NUMERIC, 3, max_iter=5)
+        model = R.fit_kmeans(z(train), NUMERIC, R.best_k(R.silhouette_by_k(z(train), NUMERIC)))
         widened = lambda df: R.add_kmeans_distance(z(df), NUMERIC, model)
         again = Scaler().fit(widened(train), ["kmeans_distance"])
         vector = F.array(*[F.col(c).cast("double") for c in [*NUMERIC, "kmeans_distance"]]).alias("x")
         rows = checkpointed(again.transform(widened(panel)).select("player_id", "year", "row_key", "drafted", vector))
-    folds = checkpointed(with_stratified_fold(frames.train_rows(rows), "drafted", F.col(KEY), ["row_key"], folds=2))
-    best = best_knn(folds, folds_n=2)
+    folds = checkpointed(with_stratified_fold(frames.train_rows(rows), "drafted", F.col(KEY), ["row_key"], folds=5))
+    best = best_knn(folds, folds_n=5)
     found = N.nearest(frames.test_rows(rows), folds, best["k"], q_key="row_key", t_key="row_key", payload="drafted")
     score = N.knn_scores(found, best["weights"]).withColumnRenamed("query", "row_key")
     return frames.test_rows(rows).select("player_id", "row_key").join(score, "row_key").select("player_id", "probability")

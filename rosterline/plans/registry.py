@@ -81,7 +81,7 @@ NUMBER = r"'^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$'"
 
 
 def sql_hash(key: str, salt: int = 0) -> str:
-    first = f"((({key}) % 2147483648) * {1103515245 + salt * 362436} + 12345) % 2147483648"
+    first = f"((({key}) % 2147483648) * {(1103515245 + salt * 362436) % 2147483648} + 12345) % 2147483648"
     return f"(((({first}) % 65536 * 32768 + ({first}) // 65536) * 1103515245 + 12345) % 2147483648)"
 
 

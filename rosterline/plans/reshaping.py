@@ -59,7 +59,7 @@ rolled AS (SELECT player_id, year, pts, ast, {_roll_sql('mean', 'avg', 6, cols=(
   {_roll_sql('std', 'stddev_samp', 3, cols=('pts', 'ast'))}, {_growth_sql(('pts', 'ast'))} FROM both_parts {_window(2)})
 SELECT * FROM rolled WHERE year = {frames.TEST_YEAR}""")
 def rolling_test_split(spark, sf_dir):
-    panel = frames.panel(spark, sf_dir).select("player_id", "year", "pts", "ast")
+    panel = frames.once(frames.panel(spark, sf_dir).select("player_id", "year", "pts", "ast"))
     out = T.season_statistics(frames.test_rows(panel), frames.train_rows(panel), frames.TEST_YEAR)
     by = lambda p: [c for c in out.columns if c.startswith(p)]
     return rounded(rounded(rounded(out, 6, *by("rolling_mean")), 3, *by("rolling_std")), 6, *by("growth"))
@@ -69,7 +69,7 @@ def rolling_test_split(spark, sf_dir):
 SELECT player_id, year, team, pts, drafted FROM panel WHERE year < {frames.TEST_YEAR}
 UNION ALL SELECT player_id, year, team, pts, NULL FROM panel WHERE year = {frames.TEST_YEAR}""")
 def history_union(spark, sf_dir):
-    panel = frames.panel(spark, sf_dir).select("player_id", "year", "team", "pts", "drafted")
+    panel = frames.once(frames.panel(spark, sf_dir).select("player_id", "year", "team", "pts", "drafted"))
     return tables.union_rows(frames.train_rows(panel), frames.test_rows(panel).drop("drafted"))
 
 
@@ -78,7 +78,7 @@ SELECT 'team' AS column_name, team AS value FROM panel WHERE year < {frames.TEST
 UNION SELECT 'team', team FROM panel WHERE year = {frames.TEST_YEAR}
 UNION SELECT 'conf', conf FROM panel""")
 def category_universe(spark, sf_dir):
-    panel = frames.panel(spark, sf_dir).select("year", "team", "conf")
+    panel = frames.once(frames.panel(spark, sf_dir).select("year", "team", "conf"))
     return X.category_universe(frames.train_rows(panel), frames.test_rows(panel), ["team", "conf"])
 
 
@@ -90,7 +90,7 @@ def align_schema(spark, sf_dir):
     return tables.align_to(test, ["player_id", "year", "pts", "ast", "conf_EUROPE", "conf_ASIA"])
 
 
-_KEY = "player_id * 64 + year"
+_KEY = "player_id * 10000 + year"
 
 
 @query("hash_split", f"""WITH {PANEL}
@@ -109,12 +109,12 @@ _RANKED = f"""ranked AS (SELECT player_id, year, drafted, row_number() OVER (
 @query("stratified_split", f"""WITH {PANEL}, {_RANKED}
 SELECT player_id, year, drafted, CASE WHEN rn * 10 <= 8 * n THEN 'train' ELSE 'validation' END AS part FROM ranked""")
 def stratified_split(spark, sf_dir):
-    panel = frames.panel(spark, sf_dir).select("player_id", "year", "drafted")
+    panel = frames.once(frames.panel(spark, sf_dir).select("player_id", "year", "drafted"))
     return X.with_stratified_part(panel, "drafted", X.season_key(), ["player_id", "year"], test_tenths=2, seed=42)
 
 
 @query("stratified_folds", f"""WITH {PANEL}, {_RANKED}
 SELECT player_id, year, drafted, CAST((rn - 1) % 5 AS INTEGER) AS fold FROM ranked""")
 def stratified_folds(spark, sf_dir):
-    panel = frames.panel(spark, sf_dir).select("player_id", "year", "drafted")
+    panel = frames.once(frames.panel(spark, sf_dir).select("player_id", "year", "drafted"))
     return X.with_stratified_fold(panel, "drafted", X.season_key(), ["player_id", "year"], folds=5, seed=42)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import anomaly as A, clean as C, evaluate as V, neighbors as N, reduce as R, select as S
 from ..operators.encode import Scaler, fit_preprocessor
 from ..operators.split import season_key
+from ..session import checkpointed
 from ..sources import frames
 from .profiling import rounded
 from .registry import EMB, PANEL, query, sql_hash
@@ -30,7 +31,7 @@ FROM (SELECT *, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING A
 
 @query("auroc", f"WITH {PANEL} {_auc_sql('gp')} UNION ALL {_auc_sql('pts')}")
 def auroc(spark, sf_dir):
-    panel = frames.panel(spark, sf_dir)
+    panel = frames.once(frames.panel(spark, sf_dir).select("gp", "pts", "drafted"))
     parts = [V.auroc(panel, c, "drafted").withColumn("score_name", F.lit(c)) for c in ("gp", "pts")]
     return rounded(parts[0].unionByName(parts[1]), 9, "auroc")
 
@@ -77,18 +78,18 @@ def _selectable(spark, sf_dir):
 
 @query("select_features")
 def select_features(spark, sf_dir):
-    return S.select_features(_selectable(spark, sf_dir), top_numeric=3, top_categorical=3, trees=20, depth=5)
+    return S.select_features(_selectable(spark, sf_dir), top_numeric=3, top_categorical=3)
 
 
 @query("remove_features")
 def remove_features(spark, sf_dir):
-    return S.remove_features(_selectable(spark, sf_dir), bottom_numeric=2, bottom_categorical=2, trees=20, depth=5)
+    return S.remove_features(_selectable(spark, sf_dir), bottom_numeric=2, bottom_categorical=2)
 
 
 @query("rf_importance_topk")
 def rf_importance_topk(spark, sf_dir):
     return S.importance_topk(
-        _selectable(spark, sf_dir), "drafted", NUMERIC, ["team", "conf", "type"], k=10, trees=20, depth=5)
+        _selectable(spark, sf_dir), "drafted", NUMERIC, ["team", "conf", "type"])
 
 
 # --- neighbours ----------------------------------------------------------------------
@@ -115,7 +116,8 @@ SELECT query AS vec_id, round(avg(CAST(payload AS DOUBLE)), 9) AS uniform,
 FROM near GROUP BY query""")
 def knn_classify(spark, sf_dir):
     emb = frames.embeddings(spark, sf_dir)
-    found = N.nearest(emb, emb, 7, q_key="vec_id", t_key="vec_id", payload="drafted", skip_same=True).persist()
+    found = N.nearest(emb, emb, 7, q_key="vec_id", t_key="vec_id", payload="drafted", skip_same=True)
+    found = checkpointed(found)
     both = [N.knn_scores(found, w).withColumnRenamed("probability", w) for w in ("uniform", "distance")]
     return both[0].join(both[1], "query").select(
         F.col("query").alias("vec_id"), F.round("uniform", 9).alias("uniform"), F.round("distance", 6).alias("weighted"))
@@ -171,7 +173,7 @@ def silhouette_exact(spark, sf_dir):
 
 
 def _complete(spark, sf_dir):
-    panel = frames.panel(spark, sf_dir)
+    panel = frames.once(frames.panel(spark, sf_dir))
     filled = C.fill_medians(panel, frames.train_rows(panel), NUMERIC)
     return filled.withColumns({c: F.col(c).cast("double") for c in NUMERIC})
 
@@ -197,7 +199,7 @@ def kmeans_distance(spark, sf_dir):
 
 @query("kmeans_best_k")
 def kmeans_best_k(spark, sf_dir):
-    scores = R.silhouette_by_k(_standard(spark, sf_dir), NUMERIC, range(2, 7), max_iter=10)
+    scores = R.silhouette_by_k(_standard(spark, sf_dir), NUMERIC)
     return scores.withColumn("best", F.col("k") == F.lit(R.best_k(scores)))
 
 
@@ -205,14 +207,14 @@ def kmeans_best_k(spark, sf_dir):
 
 @query("isolation_forest")
 def isolation_forest(spark, sf_dir):
-    panel = frames.panel(spark, sf_dir)
+    panel = frames.once(frames.panel(spark, sf_dir))
     forest = A.fit_isolation_forest(frames.train_rows(panel), ["player_id", "year"], columns=NUMERIC)
     return forest.transform(panel).select("player_id", "year", "anomaly_score")
 
 
 @query("one_class_filter")
 def one_class_filter(spark, sf_dir):
-    panel = frames.panel(spark, sf_dir).withColumn("row_key", season_key())
+    panel = frames.once(frames.panel(spark, sf_dir).withColumn("row_key", season_key()))
     train = frames.train_rows(panel)
     prep = fit_preprocessor(train, NUMERIC, ["team", "conf"])
     model = A.fit_one_class(prep.transform(train))

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import contextlib
+import os
+import shutil
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from multiprocessing.pool import ThreadPool
@@ -30,16 +33,30 @@ def build_session(master: str | None = None, app: str = "rosterline", **conf: st
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, so that functions in tasks find it wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_rosterline_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="rosterline-package-")  # read by the driver alone, which serves it
+    archive = shutil.make_archive(os.path.join(folder, "rosterline"), "zip", os.path.dirname(here), os.path.basename(here))
+    sc.addPyFile(archive)
+    sc._rosterline_shipped = True
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by spark.checkpoint.dir. Only a
     local master may fall back to a folder of its own."""
     path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if path:
         return path.rstrip("/")
-    sc = spark.sparkContext
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     path = tempfile.mkdtemp(prefix="rosterline-")
@@ -60,18 +77,31 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_uses: dict[tuple[str, int], int] = {}  # how many blocks hold a cached plan open
+_uses_lock = threading.Lock()
+
+
 @contextlib.contextmanager
 def cached(df: DataFrame) -> Iterator[DataFrame]:
     """Keep a frame for the several passes of one fit, spilling to disk; lost blocks are
-    recomputed from lineage."""
-    if df.storageLevel != StorageLevel.NONE:
-        yield df
-        return
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    recomputed from lineage. Fits side by side that cache the same plan share one entry, which
+    the last of them gives up; a frame that the caller has cached stays so."""
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
+    with _uses_lock:
+        mine = key in _uses or df.storageLevel == StorageLevel.NONE
+        if mine:
+            _uses[key] = _uses.get(key, 0) + 1
+            if _uses[key] == 1:
+                df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield df
     finally:
-        df.unpersist()
+        if mine:
+            with _uses_lock:
+                _uses[key] -= 1
+                if not _uses[key]:
+                    del _uses[key]
+                    df.unpersist()
 
 
 A, B = TypeVar("A"), TypeVar("B")

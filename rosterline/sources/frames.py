@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import checkpointed
 from .tables import table
 
 TARGET_TOTAL = 900000
@@ -68,6 +69,12 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def once(frame: DataFrame) -> DataFrame:
+    """The frame written to the shared folder, for queries that fit on it and apply to it: the
+    facts behind it are read once."""
+    return checkpointed(frame)
+
+
 def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The panel with missing and malformed columns added, each a rule on the key."""
     p, s = F.col("player_id"), F.col("year")

@@ -11,13 +11,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """CSV with a header, doubled quotes and empty cells as null. The schema is given, so
-    the file is read once; NaN and infinities in double columns become null."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, *, multiline: bool = False) -> DataFrame:
+    """CSV with a header, doubled quotes and empty cells as null. Columns are found by their
+    name in the header, whatever their order; a column that the schema lacks is left out, one
+    that the file lacks is an error. Types are given, so the file is read once but for its first
+    line; NaN and infinities in double columns become null. With multiline, quoted cells may
+    hold line ends, and a file is read by one task."""
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multiline}
+    header = spark.read.csv(path, **options).columns
+    types = {f.name: f for f in wanted.fields}
+    if absent := [c for c in types if c not in header]:
+        raise ValueError(f"{path} lacks the columns {absent}")
+    in_file = T.StructType([types.get(c, T.StructField(c, T.StringType())) for c in header])
     df = spark.read.csv(
-        path, header=True, schema=schema, quote='"', escape='"', nullValue="", emptyValue="",
-        multiLine=False, mode="FAILFAST",
-    )
+        path, schema=in_file, nullValue="", emptyValue="", mode="FAILFAST", enforceSchema=False, **options,
+    ).select(*wanted.names)
     inf = float("inf")
     return df.select(*[
         F.when(F.isnan(f.name) | (F.abs(f.name) == inf), None).otherwise(F.col(f.name)).alias(f.name)

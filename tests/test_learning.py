@@ -67,7 +67,7 @@ def test_stacks(spark, rows, tmp_path):
 def test_search(spark, rows):
     folded = with_stratified_fold(rows, "drafted", F.col("row_key"), ["row_key"], folds=2)
     log = T.search_cv(KINDS[0], folded, T.grid({"C": [1e-6, 1.0]}), folds=2)
-    assert [p["C"] for p, _ in log] == [1e-6, 1.0] and all(s > 0.8 for _, s in log)
+    assert [t.params["C"] for t in log] == [1e-6, 1.0] and all(t.score > 0.8 for t in log)
     log = T.search_cv(KINDS[2], folded, T.grid({"C": [1.0]}), folds=2)
     assert log[0][1] > 0.85
 

@@ -52,7 +52,7 @@ def compare(spark_df, rel) -> str:
     bad = [(c, types[c], duck[c]) for c in cols if KIND.get(types[c], types[c]) != duck[c]]
     pick = [rel.columns.index(c) for c in cols]
     left = sorted((tuple(r[c] for c in cols) for r in spark_df.select(*[f"`{c}`" for c in cols]).collect()), key=order_key)
-    right = sorted((tuple(r[i] for i in pick) for r in rel.limit(10_000_000).fetchall()), key=order_key)
+    right = sorted((tuple(r[i] for i in pick) for r in rel.fetchall()), key=order_key)
     if len(left) != len(right):
         return f"rows differ: {len(left)} vs {len(right)}"
     diffs = [(a, b) for a, b in zip(left, right) if not all(map(same, a, b))]
