@@ -50,9 +50,10 @@ def row_of(docs: DataFrame) -> Column:
 
 def without_rows(docs: DataFrame, keys: Sequence[Column], dropped: DataFrame) -> DataFrame:
     """The rows of docs whose keys aren't among the dropped; dropped has a column per key, in that order. Null keys
-    compare as equal."""
+    compare as equal. Always by shuffle: dropped grows with docs, and the plan that is tried on a small table is the
+    one that runs on a large one."""
     names = [f"_d{i}" for i in range(len(keys))]
-    gone = dropped.toDF(*names)
+    gone = dropped.toDF(*names).hint("merge")
     marked = docs.select(row_of(docs), *[k.alias(f"_q{i}") for i, k in enumerate(keys)])
     cond = [marked[f"_q{i}"].eqNullSafe(gone[n]) for i, n in enumerate(names)]
     return marked.join(gone, cond, "left_anti").select("_row.*")

@@ -194,7 +194,7 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars")
         .filter(F.size("_spans") > 0)
     spans = materialize(spans.groupBy("_k1", "_k2").agg(F.first("_spans").alias("_spans")), "redactions")
     keyed = docs.select(row_of(docs), *text_keys(f"`{text}`"), F.col(f"`{text}`").alias("_text")) \
-        .join(spans, ["_k1", "_k2"], "left")
+        .join(spans.hint("merge"), ["_k1", "_k2"], "left")  # by shuffle at any size, as spans grow with docs
     hit = F.col("_spans").isNotNull()
     clean = keyed.withColumn("_text", F.when(hit, redacted(F.col("_text"), F.col("_spans"))).otherwise(F.col("_text")))
     column = {c: F.col(f"_row.`{c}`") for c in docs.columns}
