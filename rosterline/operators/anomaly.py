@@ -205,19 +205,37 @@ def _margin(weights: Sequence[float], features: str):
     return dot(vector_to_array(F.col(features)))
 
 
+def _closest_to_origin(points: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Convex weights of the points whose mean is closest to the origin, by pairwise steps from the given ones."""
+    gram = points @ points.T
+    w = weights.copy()
+    for _ in range(20_000):
+        slope = gram @ w
+        best = int(slope.argmin())
+        worst = int(np.where(w > 0, slope, -np.inf).argmax())
+        gap = slope[worst] - slope[best]
+        curve = gram[best, best] - 2.0 * gram[best, worst] + gram[worst, worst]
+        if gap <= 1e-12 * max(gram.diagonal().max(), 1e-18) or curve <= 0:
+            break
+        step = min(w[worst], gap / curve)
+        w[best] += step
+        w[worst] = w[worst] - step if step < w[worst] else 0.0
+    return w
+
+
 def fit_one_class(df: DataFrame, features: str = "features", *, nu: float = 0.1, max_iter: int = 200,
                   tol: float = 1e-3) -> OneClassModel:
     """Linear one-class machine. Its solution is the point closest to the origin among the means
     of row sets holding at least a share nu of the rows. Each step finds the mean of the share
-    with the lowest margins, one aggregation, and moves to the closest point on the line
-    towards it. Only the weight vector is kept between steps. The share is cut at the exact
-    quantile. A fit that ends at max_iter says so: it warns, and its model is not `converged`."""
+    with the lowest margins, one aggregation, and moves to the closest point among the mixtures
+    of the means found so far, a vector each. The share is cut at the exact quantile. A fit that ends at max_iter says so: it warns, and its model is not `converged`."""
     with cached(df.select(features)) as rows:
         mean = lambda part: part.select(Summarizer.mean(F.col(features)).alias("m")).first()["m"]
         start = mean(rows)
         if start is None:
             raise ValueError("no rows to fit on")
         w = np.asarray(start.toArray())
+        means, weights = w[None, :], np.ones(1)
         converged = False
         for _ in range(max_iter):
             scored = rows.withColumn("_m", _margin(w, features))
@@ -229,7 +247,10 @@ def fit_one_class(df: DataFrame, features: str = "features", *, nu: float = 0.1,
             if size < 1e-18 or gain <= tol * max(float(w @ w), 1e-18):
                 converged = True
                 break
-            w = w - min(1.0, gain / size) * step
+            means, weights = np.vstack((means, worst)), np.append(weights, 0.0)
+            weights = _closest_to_origin(means, weights)
+            means, weights = means[weights > 0], weights[weights > 0]
+            w = weights @ means
         with cached(rows.select(_margin(w, features).alias("m"))) as margins:
             rho = exact_quantiles(margins, {"m": (F.col("m"), [nu])})["m"][0]
     if not converged:
