@@ -23,7 +23,7 @@ RULES: list[tuple[str, str]] = [
     ("too_short", "n_words < 50"),
     ("repeated_windows", "100 * n_repeat_words > 50 * n_words"),
     ("word_length", "word_chars < 2 * n_words OR word_chars > 25 * n_words"),
-    ("symbols", "2 * n_symbols > n_words"),
+    ("symbols", "10 * n_symbols > n_words"),
     ("repeated_lines", "100 * n_dup_lines > 50 * n_lines"),
 ]
 BITS = {name: 1 << i for i, (name, _) in enumerate(RULES)}
