@@ -28,7 +28,27 @@ QUERIES: dict[str, Query] = {
     "op9_suffix_dedup": over_documents(repeats.removal_report),
     "op10_exact_refinement": over_documents(exact.exact_groups),
 }
+_WORD = r"[^\x20\x09-\x0D]"
+_BIT = " + ".join(f"CASE WHEN {rule} THEN {quality.BITS[name]} ELSE 0 END" for name, rule in quality.RULES)
+
 ORACLE: dict[str, str] = {
+    "op5_rule_ledger": f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '{_WORD}+') AS ws,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS ls FROM d),
+g AS (SELECT doc_id, i, [ws[i], ws[i + 1], ws[i + 2]] AS g FROM (SELECT *, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+c AS (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g),
+r AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM c WHERE n > 1) GROUP BY doc_id),
+m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+        CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+        CAST(len(regexp_extract_all(t, '{quality.SYMBOLS}')) AS BIGINT) AS n_symbols,
+        CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+        CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words
+      FROM w LEFT JOIN r USING (doc_id)),
+f AS (SELECT *, CAST({_BIT} AS BIGINT) AS failures FROM m)
+SELECT *, failures & {quality.BASE.mask} <> 0 AS base_failed,
+  failures & {quality.BASE.mask | quality.CURRENT.mask} = 0 AS kept FROM f
+""",
     "op10_exact_refinement": """
 WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
            FROM documents)
