@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
@@ -37,6 +38,7 @@ class Data:
 
     train: DataFrame
     test: DataFrame
+    prep: PipelineModel | None = None
 
     def holdout(self) -> tuple[DataFrame, DataFrame]:
         return hash_parts(self.train, F.col(KEY))
@@ -51,7 +53,7 @@ def prepare(spark, sf_dir, *, all_categories: bool = False) -> Data:
         prep = fit_preprocessor(
             frames.train_rows(panel), NUMERIC, CATEGORICAL, universe=panel if all_categories else None)
         rows = checkpointed(prep.transform(panel).select("player_id", "year", "row_key", "drafted", "features"))
-    return Data(frames.train_rows(rows), frames.test_rows(rows))
+    return Data(frames.train_rows(rows), frames.test_rows(rows), prep)
 
 
 def _ids(df: DataFrame, *columns: str) -> DataFrame:

@@ -12,11 +12,13 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from rosterline.functions.scalar import key_hash
-from rosterline.operators import anomaly as A, ensemble as E, models as M, neighbors as N, reduce as R, split as X, tune as T
+from rosterline.operators import (
+    anomaly as A, clean, ensemble as E, models as M, neighbors as N, reduce as R, score as S, split as X, tune as T)
+from rosterline.operators.encode import fit_preprocessor
 from rosterline.operators.evaluate import auroc_value
 from rosterline.plans import QUERIES
 from rosterline.session import cached
-from rosterline.sources import tables
+from rosterline.sources import frames, tables
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -130,6 +132,21 @@ def test_saved_ensembles(spark, rows, tmp_path):
     assert M.load_model(spark, str(tmp_path / "one")) == one
 
 
+def test_one_folder_from_raw_rows_to_scores(spark, sf_dir, tmp_path):
+    raw = frames.once(frames.raw_panel(spark, sf_dir))
+    train = frames.train_rows(raw)
+    scorer = S.RawScorer(None, None, "v4", clean.preprocess(train, "v4")[1],
+                         {"part": {"column": "conf", "values": {"ASIA": "east"}, "default": "other"}})
+    scorer.forest = A.fit_isolation_forest(scorer.cleaned(train), ["player_id", "year"], columns=["pts", "ht"], trees=5)
+    scorer.prep = fit_preprocessor(scorer.cleaned(train), ["pts", "ht", "anomaly_score"], ["part"])
+    scorer.model = M.fit_model(M.ModelSpec("m", "logistic"), scorer.features(train), key="player_id")
+    scorer.save(spark, str(tmp_path / "all"))
+    again = S.RawScorer.load(spark, str(tmp_path / "all"))
+    test = frames.test_rows(raw)
+    both = [sorted(tuple(r) for r in s.score(test).select("player_id", "m").collect()) for s in (scorer, again)]
+    assert both[0] == both[1] and len(both[0]) == test.count() > 0
+
+
 def test_one_class_fit_says_when_it_stops_short(rows):
     with pytest.warns(RuntimeWarning):
         assert not A.fit_one_class(rows, max_iter=1, tol=1e-12).converged
