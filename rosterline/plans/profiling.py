@@ -194,7 +194,7 @@ def region_counts(spark, sf_dir):
   SELECT team, avg(CAST(drafted AS DOUBLE)) AS team_encoded FROM panel WHERE year < {frames.TEST_YEAR} GROUP BY team)
 SELECT player_id, year, team, round(team_encoded, 9) AS team_encoded FROM panel LEFT JOIN enc USING (team)""")
 def target_encode_team(spark, sf_dir):
-    panel = frames.panel(spark, sf_dir)
+    panel = frames.once(frames.panel(spark, sf_dir).select("player_id", "year", "team", "drafted"))
     encoding = L.target_encoding(frames.train_rows(panel), "team", "drafted", "team_encoded")
     got = L.apply_target_encoding(panel.select("player_id", "year", "team"), encoding, "team")
     return rounded(got, 9, "team_encoded")
@@ -208,12 +208,33 @@ t AS (SELECT team, CASE WHEN o >= o75 AND d <= d25 THEN 'High' WHEN o <= o25 AND
                    ELSE 'Medium' END AS team_performance_tier FROM m, q)
 SELECT player_id, year, team, team_performance_tier FROM panel LEFT JOIN t USING (team)""")
 def team_tier(spark, sf_dir):
-    panel = frames.panel(spark, sf_dir)
+    panel = frames.once(frames.panel(spark, sf_dir).select("player_id", "year", "team", "pts", "ast", "gp"))
     per_game = lambda c: F.try_divide(F.col(c), F.col("gp").cast("double"))
     tiers = L.tier_table(panel, "team", per_game("pts"), per_game("ast"), "team_performance_tier")
     return L.attach(panel.select("player_id", "year", "team"), tiers, ["team"])
 
 
+_CODES = [*L.CONF_LEVELS, "none"]
+
+
+@query("bin_team_and_conf", f"""WITH {PANEL}, m AS (
+  SELECT team, avg(pts / gp) AS o, avg(ast / gp) AS d FROM panel GROUP BY team),
+q AS (SELECT quantile_cont(o, 0.25) AS o25, quantile_cont(o, 0.75) AS o75,
+             quantile_cont(d, 0.25) AS d25, quantile_cont(d, 0.75) AS d75 FROM m),
+t AS (SELECT team, CASE WHEN o >= o75 AND d <= d25 THEN 'High' WHEN o <= o25 AND d >= d75 THEN 'Low'
+                   ELSE 'Medium' END AS team_performance_tier FROM m, q),
+c AS (SELECT *, {_CODES}[player_id % {len(_CODES)} + 1] AS code FROM panel)
+SELECT player_id, year, team, code, {_case('code', L.CONF_LEVELS)} AS "Conf_Level", team_performance_tier
+FROM c LEFT JOIN t USING (team)""")
+def bin_team_and_conf(spark, sf_dir):
+    """Both binnings in one call; conference codes stand in by the player's number."""
+    code = F.get(F.array(*map(F.lit, _CODES)), (F.col("player_id") % len(_CODES)).cast("int")).alias("code")
+    panel = frames.once(frames.panel(spark, sf_dir).select("player_id", "year", "team", code, "pts", "ast", "gp"))
+    per_game = lambda c: F.try_divide(F.col(c), F.col("gp").cast("double"))
+    out = L.bin_team_and_conf(panel, conf="code", offence=per_game("pts"), defence=per_game("ast"))
+    return out.select("player_id", "year", "team", "code", "Conf_Level", "team_performance_tier")
+
+
 @query("team_avg_transform", f"""WITH {PANEL}, m AS (
   SELECT team, avg(pts / gp) AS team_avg_off, avg(ast / gp) AS team_avg_def FROM panel GROUP BY team)
 SELECT player_id, year, team, round(team_avg_off, 5) AS team_avg_off, round(team_avg_def, 5) AS team_avg_def

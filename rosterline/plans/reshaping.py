@@ -53,6 +53,15 @@ def growth_rate(spark, sf_dir):
     return rounded(out, 6, *out.columns[2:])
 
 
+@query("rolling_statistics", f"""WITH {PANEL}
+SELECT player_id, year, pts, ast, {_roll_sql('mean', 'avg', 6, cols=('pts', 'ast'))},
+  {_roll_sql('std', 'stddev_samp', 3, cols=('pts', 'ast'))}, {_growth_sql(('pts', 'ast'))} FROM panel {_window(2)}""")
+def rolling_statistics(spark, sf_dir):
+    out = T.rolling_statistics(frames.panel(spark, sf_dir).select("player_id", "year", "pts", "ast"))
+    by = lambda p: [c for c in out.columns if c.startswith(p)]
+    return rounded(rounded(rounded(out, 6, *by("rolling_mean")), 3, *by("rolling_std")), 6, *by("growth"))
+
+
 @query("rolling_test_split", f"""WITH {PANEL}, both_parts AS (
   SELECT player_id, year, pts, ast FROM panel WHERE year BETWEEN {frames.TEST_YEAR - 1} AND {frames.TEST_YEAR}),
 rolled AS (SELECT player_id, year, pts, ast, {_roll_sql('mean', 'avg', 6, cols=('pts', 'ast'))},
