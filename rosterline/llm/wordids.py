@@ -15,7 +15,7 @@ import regex
 
 from .parts import column_slices, cut_at_blanks
 
-KEEP_PARTS = 1_500_000
+KEEP_PARTS = 750_000
 KEEP_LENGTH = 64
 WIDE = np.dtype("<u4")
 
