@@ -23,7 +23,7 @@ from ..session import cached, checkpointed, in_parallel
 from .evaluate import with_class_weight
 
 WEIGHT = "_weight"
-PARTITIONS = 16
+PARTITIONS = 8
 
 
 @dataclass(frozen=True, eq=False)
