@@ -115,7 +115,8 @@ def near_groups(rows: DataFrame, key: str) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, fingerprint (16 hex digits), component_id. Null texts count as empty; empty texts
-    share fingerprint zero and are linked like any other. Other columns are left out."""
+    share fingerprint zero and are linked like any other. A null key is no smallest key unless all of its component's
+    are null. Other columns are left out."""
     named = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     rows = materialize(with_fingerprint(named, ["doc_id"]), "fingerprints")
     return near_groups(rows, "doc_id").select(

@@ -112,6 +112,11 @@ def test_near_duplicates(corpus, odd_texts):
     assert H.near_duplicates(corpus([])).collect() == []
 
 
+def test_near_duplicates_with_null_and_repeated_keys(corpus):
+    rows = H.near_duplicates(corpus(["a b c d e"] * 4 + ["z"], ids=[7, None, 7, 9, None])).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in rows), key=str) == [(7, 7), (7, 7), (9, 7), (None, 7), (None, None)]
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(7, i) for i in range(200, 260)]
