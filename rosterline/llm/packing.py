@@ -156,6 +156,7 @@ def packed_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capa
                         yield flush()
         if rows:
             yield flush()
+        enc.forget()  # the worker may wait for other stages' tasks, which need the memory
 
     names = ["doc_id", *[c.split()[0] for c in PIECES.split(", ")], *["ids"] * with_ids]
     rows_in = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
