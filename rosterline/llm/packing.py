@@ -23,6 +23,9 @@ from .common import tokenizer_file
 from .wordids import WIDE, word_encoder
 
 
+KEEP_PARTS = 1_500_000  # distinct parts of texts that a worker remembers
+
+
 def difference(sizes: list[int], windows: int) -> list[list[int]]:
     """Indexes of the sizes, dealt to `windows` windows by largest differencing.
 
@@ -102,17 +105,19 @@ PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id
 
 
 def packed_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = 4096, piece: int = 1024,
-                  block: int = 128, end_id: int = 2, model: str | None = None, with_ids: bool = False) -> DataFrame:
+                  block: int = 128, end_id: int = 2, model: str | None = None, with_ids: bool = False,
+                  hold: bool = True) -> DataFrame:
     """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset; with_ids adds the ids.
 
     A null text counts as empty and gives the end id alone. capacity: ids of a sequence; block: windows packed
-    together at least, but at a partition's end. Sequence ids are unique; they and the windows follow the
+    together at least, but at a partition's end. hold: workers remember words from task to task, some 250 MB each;
+    without it they give them back, for what else runs on the executor afterwards. Sequence ids are unique; they and the windows follow the
     partitioning of the input, the pieces of a document do not."""
     path = model or tokenizer_file("word_bpe_49k.json")
     end = np.array([end_id], WIDE).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = word_encoder(path)
+        enc = word_encoder(path, KEEP_PARTS)
         sequence = (TaskContext.get().partitionId()) << 32
         keys: list = []
         rows: list[tuple[int, int, int, int]] = []  # start, length, crc, tokens of the document
@@ -156,7 +161,8 @@ def packed_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capa
                         yield flush()
         if rows:
             yield flush()
-        enc.forget()  # the worker may wait for other stages' tasks, which need the memory
+        if not hold:
+            enc.forget()
 
     names = ["doc_id", *[c.split()[0] for c in PIECES.split(", ")], *["ids"] * with_ids]
     rows_in = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))

@@ -112,8 +112,9 @@ class WordEncoder:
 _encoders: dict[str, WordEncoder] = {}
 
 
-def word_encoder(path: str) -> WordEncoder:
-    """One per worker process."""
+def word_encoder(path: str, keep: int = KEEP_PARTS) -> WordEncoder:
+    """One per worker process, which remembers up to `keep` parts from task to task."""
     if path not in _encoders:
         _encoders[path] = WordEncoder(path)
+    _encoders[path].keep = keep
     return _encoders[path]
