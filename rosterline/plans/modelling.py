@@ -158,7 +158,7 @@ def ensemble_auroc_table(spark, sf_dir):
 def grid_search_trials(spark, sf_dir):
     data = prepare(spark, sf_dir)
     rows = with_stratified_fold(data.train, "drafted", F.col(KEY), ["row_key"], folds=5)
-    return T.trial_table(spark, T.search_cv(LOGISTIC, rows, T.grid(T.GRIDS["linear"]), folds=5))
+    return T.trial_table(spark, T.search_cv(LOGISTIC, rows, T.grid(T.GRIDS["linear"]), folds=5, parallelism=8))
 
 
 @query("random_search_trials")
@@ -230,7 +230,7 @@ def stack_grid_tuned(spark, sf_dir):
     rows = checkpointed(with_stratified_fold(data.train, "drafted", F.col(KEY), ["row_key"], folds=5))
     best = []
     for spec in (ModelSpec("logreg", "logistic", balanced=True), ELASTIC, ModelSpec("svm", "svm", balanced=True)):
-        log = T.search_cv(spec, rows, T.grid(T.GRIDS["linear"]), folds=5)
+        log = T.search_cv(spec, rows, T.grid(T.GRIDS["linear"]), folds=5, parallelism=8)
         best.append(spec.with_params(**T.best_params(log)))
     return _ids(E.fit_stack_crossfit(rows, best).score(data.test), "stack")
 
