@@ -59,6 +59,20 @@ def without_rows(docs: DataFrame, keys: Sequence[Column], dropped: DataFrame) ->
     return marked.join(gone, cond, "left_anti").select("_row.*")
 
 
+def one_row_each(docs: DataFrame, keys: Sequence[Column], repeated: DataFrame) -> DataFrame:
+    """docs with one row for each of the repeated keys, the one with the largest values in all columns. repeated has a
+    column per key, in that order. Null keys compare as equal."""
+    if not repeated.limit(1).count():
+        return docs
+    names = [f"_d{i}" for i in range(len(keys))]
+    twice = repeated.toDF(*names)
+    marked = docs.select(row_of(docs), *[k.alias(f"_q{i}") for i, k in enumerate(keys)])
+    cond = [marked[f"_q{i}"].eqNullSafe(twice[n]) for i, n in enumerate(names)]
+    again = marked.join(twice.hint("merge"), cond, "left_semi").groupBy(*[f"_q{i}" for i in range(len(keys))]) \
+        .agg(F.max("_row").alias("_row")).select("_row.*")
+    return without_rows(docs, keys, repeated).unionByName(again)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, label): the smallest node reachable. edges has long columns a and b.
 

@@ -102,14 +102,15 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def near_groups(rows: DataFrame, key: str) -> DataFrame:
-    """Adds component_id, the smallest key reachable over links between fingerprints, the row's own included. rows is
-    a written table with columns fp and key."""
+    """Adds component_id, the smallest key reachable over links between fingerprints, the row's own included, and label,
+    the smallest fingerprint reachable: keys may be null or repeated, so only the label tells components apart. rows
+    is a written table with columns fp and key."""
     fps = materialize(rows.groupBy("fp").agg(F.min(key).alias("first")), "fps")
     pairs = materialize(links(fps.select("fp")), "pairs")
     labels = materialize(components(pairs), "members").select(F.col("node").alias("fp"), "label")
     own = fps.join(labels, "fp", "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
     least = own.groupBy("label").agg(F.min("first").alias("component_id"))
-    table = materialize(own.join(least, "label").select("fp", "component_id"), "classes")
+    table = materialize(own.join(least, "label").select("fp", "component_id", "label"), "classes")
     return rows.join(table, "fp")
 
 

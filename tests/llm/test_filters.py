@@ -166,3 +166,12 @@ def test_pipeline(spark, corpus, tmp_path):
 def test_pipeline_of_nothing(spark, corpus, tmp_path):
     corpus([]).write.parquet(str(tmp_path / "documents.parquet"))
     assert P.run(spark, str(tmp_path)).collect() == []
+
+
+def test_near_stage_tells_groups_apart_whatever_the_keys(spark, corpus):
+    texts = [prose(90, s) for s in range(6)]
+    docs = corpus([texts[0], texts[1], texts[2], texts[3], texts[4], texts[4], texts[5], texts[5]],
+                  ids=[None, None, 7, 7, 9, 9, None, 5])
+    out = P.distinct_enough(spark, docs, "")
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(
+        [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (9, texts[4]), (5, texts[5])], key=str)
