@@ -12,7 +12,7 @@ star, without all pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,26 +26,38 @@ SEED = 42
 RADIUS = 4
 
 
-def fingerprint(text: bytes) -> int:
-    """SimHash of a UTF-8 text as an unsigned integer: A-Z lowered, words by ASCII white space, shingles of WORDS
-    words with repeats."""
+def shingle_hashes(text: bytes, size: int) -> Iterator[np.ndarray]:
+    """Hashes of the shingles of so many words, with repeats, by blocks of bounded size: A-Z lowered, words by ASCII
+    white space. A shorter text is one shingle, one without words has none."""
     words = text.lower().split()
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     hashed = xxhash.xxh64_intdigest
-    if len(words) < WORDS:
-        return hashed(joined, SEED)
+    if len(words) < size:
+        yield np.array([hashed(joined, SEED)], np.uint64)
+        return
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    votes, n = np.zeros(64, np.int64), len(words) - WORDS + 1
+    starts, n = np.concatenate(([0], ends[:-1] + 1)), len(words) - size + 1
     for at in range(0, n, 65536):  # bounded memory for very long texts
-        spans = zip(starts[at:min(at + 65536, n)].tolist(), ends[at + WORDS - 1:at + WORDS - 1 + 65536].tolist())
-        h = np.array([hashed(joined[a:b], SEED) for a, b in spans], ">u8")
-        votes += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+        spans = zip(starts[at:min(at + 65536, n)].tolist(), ends[at + size - 1:at + size - 1 + 65536].tolist())
+        yield np.array([hashed(joined[a:b], SEED) for a, b in spans], np.uint64)
+
+
+def fold(blocks: Iterable[np.ndarray]) -> int:
+    """SimHash of the hashes as an unsigned integer."""
+    votes, n = np.zeros(64, np.int64), 0
+    for h in blocks:
+        votes += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+        n += len(h)
     return int.from_bytes(np.packbits(2 * votes > n).tobytes(), "big")
 
 
+def fingerprint(text: bytes, words: int = WORDS) -> int:
+    """SimHash of a UTF-8 text as an unsigned integer, over shingles with repeats."""
+    return fold(shingle_hashes(text, words))
+
+
 def with_fingerprint(docs: DataFrame, keep: list[str], text: str = "text", name: str = "fp") -> DataFrame:
     """The kept columns and the fingerprint as a signed long. A null text counts as empty, its fingerprint is zero."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
