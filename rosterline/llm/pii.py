@@ -31,28 +31,34 @@ HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9
 
 IDENTIFIER = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"  # a word with a digit
 CONTEXT_CHARS = 80
-CONTEXT = r"((?:\S+\s+)?\S+)\s+$"  # up to two words in front
+CONTEXT = r"((?:\S+\s+)?\S+)\s+\S*$"  # up to two words in front, of the word in which a match begins
 MIN_DIGITS, MIN_LENGTH = 3, 5
 MIN_SUPPORT, TRUST, ROUNDS = 3, 80, 4
 FOUND = "array<struct<start:int,end:int,found:string,before:string>>"
 
 
+def _tail(c: Column) -> Column:
+    return F.substring(c, -CONTEXT_CHARS, CONTEXT_CHARS)
+
+
 def matches(text: Column, pattern: str, hint: str) -> Column:
-    """Places, strings and the last characters before each of the leftmost non-overlapping matches. The pieces between
-    matches give the places: lengths are added up."""
+    """Places, strings and the last characters of the text before each of the leftmost non-overlapping matches. The
+    pieces between matches give both: lengths are added up, and the text's last characters are carried on."""
     between = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     both = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda b, m: F.struct(
         F.char_length(b).alias("gap"), F.char_length(m).alias("len"), m.alias("found"),
-        F.substring(b, -CONTEXT_CHARS, CONTEXT_CHARS).alias("before")))
+        _tail(b).alias("before")))
 
     def add(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
         end = start + x["len"]
-        one = F.struct(start.alias("start"), end.alias("end"), x["found"].alias("found"), x["before"].alias("before"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+        before = _tail(F.concat(acc["tail"], x["before"]))
+        one = F.struct(start.alias("start"), end.alias("end"), x["found"].alias("found"), before.alias("before"))
+        return F.struct(end.alias("at"), _tail(F.concat(before, _tail(x["found"]))).alias("tail"),
+                        F.concat(acc["out"], F.array(one)).alias("out"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(FOUND).alias("out"))
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast(FOUND).alias("out"))
     return F.when(text.rlike(hint), F.aggregate(both, zero, add, lambda acc: acc["out"])).otherwise(F.array().cast(FOUND))
 
 
@@ -86,35 +92,42 @@ VALID = {
 
 
 def base_spans(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """The kept columns, an array of (start, end) for each kind, and `candidates`: identifiers with what stands in
-    front. Where the text has no digit there is neither ip nor candidate, and so on."""
+    """The kept columns, an array of (start, end) for each kind, `seeds`: the base spans with what they are and what
+    stands in front, and `candidates`: the same of words with a digit. Where the text has no digit there is neither ip
+    nor candidate, and so on."""
     filled = docs.select(*keep, F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_t"))
     t = F.col("_t")
 
     def spans(kind: str) -> Column:
-        valid = F.filter(matches(t, PATTERNS[kind], HINTS[kind]), lambda x: VALID[kind](x["found"]))
-        return F.transform(valid, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
+        return F.filter(matches(t, PATTERNS[kind], HINTS[kind]), lambda x: VALID[kind](x["found"]))
+
+    whole = filled.select(*keep, "_t", *[spans(k).alias(k) for k in KINDS])
+    bare = [F.transform(k, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias(k) for k in KINDS]
+    return whole.select(*keep, *bare, F.concat(*KINDS).alias("seeds"), matches(t, IDENTIFIER, "[0-9]").alias("candidates"))
+
 
-    return filled.select(*keep, *[spans(k).alias(k) for k in KINDS],
-                         matches(t, IDENTIFIER, "[0-9]").alias("candidates"))
+def _pattern(before: Column) -> Column:
+    return F.regexp_replace(F.lower(F.regexp_extract(before, CONTEXT, 1)), r"\s+", " ")
 
 
 def graph_candidates(rows: DataFrame, row: str) -> DataFrame:
-    """(row, start, end, pattern, instance, seed): identifiers in which a base span begins (seed) or which touch none,
-    without the marks around them."""
-    every = F.concat(*KINDS)
-    c = rows.filter(F.size("candidates") > 0).select(row, every.alias("_base"), F.explode("candidates").alias("c"))
-    bare = F.regexp_replace(F.regexp_replace("c.found", r"^[^\p{L}\p{N}+]+", ""), r"[^\p{L}\p{N}]+$", "")
-    front = F.char_length("c.found") - F.char_length(F.regexp_replace("c.found", r"^[^\p{L}\p{N}+]+", ""))
-    start = F.col("c.start") + front
-    one = c.select(row, "_base", F.col("c.start").alias("_from"), F.col("c.end").alias("_to"), start.alias("start"),
-                   (start + F.char_length(bare)).alias("end"), bare.alias("instance"),
-                   F.regexp_replace(F.lower(F.regexp_extract("c.before", CONTEXT, 1)), r"\s+", " ").alias("pattern"))
-    begins = F.exists("_base", lambda b: (b["start"] >= F.col("_from")) & (b["start"] < F.col("_to")))
-    touches = F.exists("_base", lambda b: (b["start"] < F.col("_to")) & (b["end"] > F.col("_from")))
-    like = (F.char_length("instance") >= MIN_LENGTH) & (F.char_length(digits(F.col("instance"))) >= MIN_DIGITS)
-    return one.select(row, "start", "end", "pattern", "instance", begins.alias("seed"), touches.alias("_touches"), like.alias("_like")) \
-        .filter("pattern != '' AND (seed OR (_like AND NOT _touches))").drop("_touches", "_like")
+    """(row, start, end, pattern, instance, seed): the whole base spans (seed), but for those that begin within another,
+    and identifiers that touch none, without the marks around them."""
+    every = rows.filter(F.size("seeds") > 0).select(row, F.explode("seeds").alias("s"), F.col("seeds").alias("_base"))
+    inner = F.exists("_base", lambda b: ((b["start"] < F.col("s.start")) & (b["end"] > F.col("s.start")))
+                     | ((b["start"] == F.col("s.start")) & (b["end"] > F.col("s.end"))))
+    seeds = every.filter(~inner).select(row, "s.start", "s.end", _pattern(F.col("s.before")).alias("pattern"),
+                                        F.col("s.found").alias("instance"), F.lit(True).alias("seed"))
+    c = rows.filter(F.size("candidates") > 0).select(row, F.col("seeds").alias("_base"), F.explode("candidates").alias("c"))
+    unmarked = F.regexp_replace("c.found", r"^[^\p{L}\p{N}+]+", "")
+    bare = F.regexp_replace(unmarked, r"[^\p{L}\p{N}]+$", "")
+    start = F.col("c.start") + F.char_length("c.found") - F.char_length(unmarked)
+    touches = F.exists("_base", lambda b: (b["start"] < F.col("c.end")) & (b["end"] > F.col("c.start")))
+    others = c.filter(~touches).select(
+        row, start.alias("start"), (start + F.char_length(bare)).alias("end"), _pattern(F.col("c.before")).alias("pattern"),
+        bare.alias("instance"), F.lit(False).alias("seed")) \
+        .filter((F.char_length("instance") >= MIN_LENGTH) & (F.char_length(digits(F.col("instance"))) >= MIN_DIGITS))
+    return seeds.union(others).filter("pattern != ''")
 
 
 def trusted_pairs(found: DataFrame, rounds: int = ROUNDS, support: int = MIN_SUPPORT, trust: int = TRUST) -> DataFrame:
@@ -148,7 +161,7 @@ def all_spans(rows: DataFrame, row: str) -> DataFrame:
     hits = found.filter("NOT seed").join(pairs, ["pattern", "instance"], "left_semi")
     added = hits.groupBy(row).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_a"))
     return rows.join(added, row, "left").withColumn(
-        "added", F.coalesce("_a", F.array().cast("array<struct<start:int,end:int>>"))).drop("_a", "candidates")
+        "added", F.coalesce("_a", F.array().cast("array<struct<start:int,end:int>>"))).drop("_a", "seeds", "candidates")
 
 
 def listed(kinds: list[str]) -> Column:

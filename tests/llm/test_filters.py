@@ -125,6 +125,20 @@ def test_contexts_lead_to_unseen_identifiers(corpus):
     assert all(r.spans == "" for r in rows if r.doc_id >= 6)
 
 
+def test_seeds_are_whole_matches_with_the_text_in_front(corpus):
+    names = ["jane.doe", "ann", "li.wei", "omar"]
+    texts = [*[f"kindly write to {n}@host.org, thanks" for n in names], "kindly write to QX-4471 now",
+             *[f"ring us: +1 (988) 555-248{i} today" for i in range(4)], "ring us: 88-1234-X today",
+             *[f"code 77 {n}@other.net" for n in names], "code 77 ZZ-90210",
+             *[f"box ({n}@third.org)" for n in names], "the box (KK-12345)"]
+    rows = {r.doc_id: r.spans for r in pii.private_spans(corpus(texts)).collect()}
+    place = lambda i, found: f"context:{texts[i].index(found)}:{texts[i].index(found) + len(found)}"
+    assert rows[4] == place(4, "QX-4471")  # emails without a digit
+    assert rows[9] == place(9, "88-1234-X")  # phones that share their first word
+    assert rows[14] == place(14, "ZZ-90210")  # right behind a word with a digit
+    assert rows[19] == ""  # 'the box' is another context than 'box'
+
+
 def test_redaction(corpus):
     texts = ["write to a@b.cd or +1 (988) 555-2485!", "clean", None, "", "é x@y.zz"]
     docs = corpus(texts).withColumn("spans", F.lit(1)).withColumn("_k1", F.lit("x"))
