@@ -33,7 +33,7 @@ IDENTIFIER = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"  # a word with a digit
 CONTEXT_CHARS = 80
 CONTEXT = r"((?:\S+\s+)?\S+)\s+\S*$"  # up to two words in front, of the word in which a match begins
 MIN_DIGITS, MIN_LENGTH = 3, 5
-MIN_SUPPORT, TRUST, ROUNDS = 3, 80, 4
+MIN_SUPPORT, TRUST = 3, 80
 FOUND = "array<struct<start:int,end:int,found:string,before:string>>"
 
 
@@ -130,15 +130,14 @@ def graph_candidates(rows: DataFrame, row: str) -> DataFrame:
     return seeds.union(others).filter("pattern != ''")
 
 
-def trusted_pairs(found: DataFrame, rounds: int = ROUNDS, support: int = MIN_SUPPORT, trust: int = TRUST) -> DataFrame:
+def trusted_pairs(found: DataFrame, support: int = MIN_SUPPORT, trust: int = TRUST) -> DataFrame:
     """(pattern, instance) of trusted patterns and the instances they lead to that aren't seeds. found has pattern,
     instance and seed. A pattern is trusted when at least `support`, and `trust` in 100, of its distinct instances are
-    trusted; whole numbers only, so the result doesn't depend on the order of sums. Rounds end early when nothing is
-    new."""
+    trusted; whole numbers only, so the result doesn't depend on the order of sums. Rounds go on until one
+    finds nothing new, and each writes what is known by then."""
     edges = materialize(found.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
     known = materialize(edges.groupBy("instance").agg(F.max("seed").alias("known")), "instances")
-    trusted = None
-    for _ in range(rounds):
+    while True:  # known only grows
         graph = edges.join(known, "instance")
         scores = graph.groupBy("pattern").agg(
             F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("known"), 1)).alias("good"))
@@ -148,9 +147,9 @@ def trusted_pairs(found: DataFrame, rounds: int = ROUNDS, support: int = MIN_SUP
         after = materialize(known.join(led, "instance", "left").select(
             "instance", (F.col("known") | F.coalesce("led", F.lit(False))).alias("known"),
             (~F.col("known") & F.coalesce("led", F.lit(False))).alias("new")), "instances")
-        known = after.select("instance", "known")
         if not after.filter("new").limit(1).count():
             break
+        known = after.select("instance", "known")
     return edges.filter("NOT seed").join(trusted, "pattern", "left_semi").select("pattern", "instance")
 
 
