@@ -161,19 +161,24 @@ def grid_search_trials(spark, sf_dir):
     return T.trial_table(spark, T.search_cv(LOGISTIC, rows, T.grid(T.GRIDS["linear"]), folds=5, parallelism=8))
 
 
+@query("gbt_grid_search_trials")
+def gbt_grid_search_trials(spark, sf_dir):
+    data = prepare(spark, sf_dir)
+    rows = with_stratified_fold(data.train, "drafted", F.col(KEY), ["row_key"], folds=3)
+    return T.trial_table(spark, T.search_cv(GBT, rows, T.grid(T.GRIDS["gbt"]), folds=3, parallelism=8))
+
+
 @query("random_search_trials")
 def random_search_trials(spark, sf_dir):
     data = prepare(spark, sf_dir)
-    rows = with_stratified_fold(data.train, "drafted", F.col(KEY), ["row_key"], folds=2)
-    space = {"rate": T.Choice((0.01, 0.1, 0.3)), "depth": T.Choice((2, 3)), "trees": T.Choice((5, 10))}
-    return T.trial_table(spark, T.search_cv(GBT, rows, T.draws(space, 3), folds=2))
+    rows = with_stratified_fold(data.train, "drafted", F.col(KEY), ["row_key"], folds=3)
+    return T.trial_table(spark, T.search_cv(GBT, rows, T.draws(T.SPACES["gbt_lists"], 50), folds=3, parallelism=8))
 
 
 @query("space_search_trials")
 def space_search_trials(spark, sf_dir):
     data = prepare(spark, sf_dir)
-    space = {**T.SPACES["gbt"], "trees": T.QUniform(3, 8), "depth": T.QUniform(2, 3)}
-    return T.trial_table(spark, T.search_holdout(GBT, *data.holdout(), T.draws(space, 3)))
+    return T.trial_table(spark, T.search_holdout(GBT, *data.holdout(), T.draws(T.SPACES["gbt"], 100), parallelism=8))
 
 
 # --- tuned stacks --------------------------------------------------------------------
@@ -187,40 +192,40 @@ def oversample(train: DataFrame) -> DataFrame:
     return more.select("row_key", array_to_vector("x").alias("features"), "drafted")
 
 
-def tuned_stack(data: Data, specs_and_spaces: Sequence[tuple[ModelSpec, dict]], *, trials: int = 2,
-                resample: bool = True, name: str = "stack") -> E.Stack:
-    """Search each base on the validation part, refit it with the best settings, stack. Only
-    training rows are oversampled."""
+def tuned_stack(data: Data, searches: Sequence[tuple[ModelSpec, dict, int]], *, resample: bool = True,
+                name: str = "stack") -> E.Stack:
+    """Search each base on the validation part with so many draws from its space, refit it with
+    the best settings, stack. Only training rows are oversampled."""
     train, validation = data.holdout()
     rows = checkpointed(oversample(train)) if resample else train
     bases = []
-    for spec, space in specs_and_spaces:
-        log = T.search_holdout(spec, rows, validation, T.draws(space, trials))
+    for spec, space, trials in searches:
+        log = T.search_holdout(spec, rows, validation, T.draws(space, trials), parallelism=8)
         bases.append(fit_model(spec.with_params(**T.best_params(log)), rows))
     return E.fit_stack_holdout(rows, validation, [], bases=bases, name=name)
 
 
-_C = T.SPACES["logistic"]
-_FEW = {"rate": T.LogUniform(-2, 0), "trees": T.QUniform(3, 5)}
+_THREE = [(LOGISTIC, T.SPACES["logistic"], 50), (GBT, T.SPACES["gbt_small"], 50), (ADA, T.SPACES["adaboost"], 50)]
+_TWO = [(LOGISTIC, T.SPACES["logistic"], 100), (SVM, T.SPACES["svm"], 50)]
 
 
 @query("stack_three_models")
 def stack_three_models(spark, sf_dir):
     data = prepare(spark, sf_dir)
-    stack = tuned_stack(data, [(LOGISTIC, _C), (GBT, _FEW), (ADA, _FEW)], resample=False)
+    stack = tuned_stack(data, _THREE, resample=False)
     return _ids(stack.score(data.test), "stack")
 
 
 @query("stack_three_models_smote")
 def stack_three_models_smote(spark, sf_dir):
     data = prepare(spark, sf_dir)
-    return _ids(tuned_stack(data, [(LOGISTIC, _C), (GBT, _FEW), (ADA, _FEW)], trials=1).score(data.test), "stack")
+    return _ids(tuned_stack(data, _THREE).score(data.test), "stack")
 
 
 @query("stack_two_models_smote")
 def stack_two_models_smote(spark, sf_dir):
     data = prepare(spark, sf_dir)
-    return _ids(tuned_stack(data, [(LOGISTIC, _C), (SVM, T.SPACES["svm"])]).score(data.test), "stack")
+    return _ids(tuned_stack(data, _TWO).score(data.test), "stack")
 
 
 @query("stack_grid_tuned")
