@@ -73,6 +73,25 @@ def one_row_each(docs: DataFrame, keys: Sequence[Column], repeated: DataFrame) -
     return without_rows(docs, keys, repeated).unionByName(again)
 
 
+def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], many: str, how: str = "left", most: int = 1000,
+                salts: int = 64) -> DataFrame:
+    """left joined with right, a written table with one row per key and a column `many`, the number of left's rows that
+    will meet it, which is left out. how: left or inner. Keys with more than `most` are copied to salts, over which
+    left's rows are dealt, so no task gets all rows of one key. The copies are a small share of left, as each stands for
+    `most` rows."""
+    more = [c for c in right.columns if c not in keys and c != many]
+    light = right.filter(F.col(many) <= most).select(*keys, *more).hint("merge")
+    heavy = right.filter(F.col(many) > most)
+    if not heavy.limit(1).count():
+        return left.join(light, list(keys), how).select(*left.columns, *more)
+    copies = heavy.select(*keys, *more, F.lit(True).alias("_met"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    first = left.withColumn("_salt", salt).join(copies.hint("merge"), [*keys, "_salt"], "left").select(*left.columns, *more, "_met")
+    first = materialize(first, "spread")
+    rest = first.filter("_met IS NULL").select(*left.columns).join(light, list(keys), how).select(*left.columns, *more)
+    return first.filter("_met").select(*left.columns, *more).union(rest)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, label): the smallest node reachable. edges has long columns a and b.
 
