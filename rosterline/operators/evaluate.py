@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import keyword_only
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param.shared import HasLabelCol, HasRawPredictionCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import cached, checkpointed
 from .ranking import ROWS_PER_RANGE, running_totals
@@ -56,6 +58,26 @@ def auroc_value(df: DataFrame, score: str, label: str) -> float | None:
     return auroc(df, score, label).first()["auroc"]
 
 
+def auroc_by(df: DataFrame, by: Sequence[str], score: str, label: str, *, ranges: int = 64) -> DataFrame:
+    """by and auroc: the exact area of each group of rows, ties counted half, null when a class is absent. All groups share
+    each pass; scores are cut into ranges at their quantiles, so a group is no task of its own."""
+    groups = checkpointed(df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+                          .groupBy(*by, F.col(score).cast("double").alias("_s"))
+                          .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")))
+    cuts = groups.select(F.percentile_approx("_s", [i / ranges for i in range(1, ranges)], 10_000)).first()[0] or []
+    edges = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<double>")
+    ranged = groups.withColumn("_range", F.size(F.filter(edges, lambda e: e <= F.col("_s"))))
+    inside = Window.partitionBy(*by, "_range").orderBy("_s").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy(*by, "_range").agg(F.sum("neg").alias("_n")).select(
+        *by, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    below = F.col("_before") + F.sum("neg").over(inside) - F.col("neg")
+    wins = ranged.join(offsets, [*by, "_range"]).select(*by, "pos", "neg", (F.col("pos").cast("double") * (
+        below.cast("double") + F.col("neg").cast("double") * F.lit(0.5))).alias("_w"))
+    return wins.groupBy(*by).agg(F.try_divide(
+        F.sum("_w"), F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auroc"))
+
+
 def roc_curve(df: DataFrame, score: str, label: str, *, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """One point per distinct score, from the highest down: rates of rows at or above it. It
     starts at (0, 0) with a threshold one above the highest score. The counts per score are

@@ -29,10 +29,12 @@ PARTITIONS = 8
 @dataclass(frozen=True, eq=False)
 class ModelSpec:
     """A learner by kind. C is the inverse regularisation over summed loss; rate, trees, depth,
-    gamma, min_child, subsample and colsample are the usual boosting settings."""
+    gamma, min_child, subsample and colsample are the usual boosting settings. gbt is Spark ML's learner, boosted the
+    one of boosting.py, with penalties alpha and lam on leaves; adaboost is discrete, or real-valued with variant="real".
+    A parameter that the kind doesn't have is an error."""
 
     name: str
-    kind: str  # logistic | elasticnet | svm | forest | gbt | adaboost | sgd
+    kind: str  # logistic | elasticnet | svm | forest | gbt | boosted | adaboost | sgd
     params: dict[str, Any] = field(default_factory=dict)
     balanced: bool = False
 
@@ -65,6 +67,10 @@ def load_meta(spark: SparkSession, path: str) -> dict:
 
 def load_model(spark: SparkSession, path: str):
     meta = load_meta(spark, path)
+    if meta["class"] == "boosted":
+        from .boosting import BoostedModel
+
+        return BoostedModel.of(meta)
     if meta["class"] == "adaboost":
         return AdaBoostModel(meta["name"], meta["features"], [Stump(**s) for s in meta["stumps"]])
     if meta["class"] in ("stack", "vote"):
@@ -85,6 +91,21 @@ def settled(rows: DataFrame, by: Sequence[Column], partitions: int = PARTITIONS)
     return rows.repartition(partitions, *by).sortWithinPartitions(*by)
 
 
+_TREE = {"rate", "trees", "depth", "gamma", "min_child", "subsample", "colsample", "seed"}
+PARAMETERS = {
+    "logistic": {"C", "max_iter"}, "elasticnet": {"C", "max_iter", "l1_ratio"}, "sgd": {"alpha", "max_iter"},
+    "svm": {"C", "max_iter", "folds"}, "forest": {"trees", "depth", "seed"}, "gbt": {*_TREE, "validation", "tol"},
+    "boosted": {*_TREE, "alpha", "lam", "task_bytes"}, "adaboost": {"rate", "trees", "checkpoint_every", "variant", "task_bytes"}}
+
+
+def check_parameters(spec: ModelSpec) -> None:
+    if spec.kind not in PARAMETERS:
+        raise ValueError(f"unknown kind {spec.kind!r}")
+    unknown = set(spec.params) - PARAMETERS[spec.kind] - {"partitions"}
+    if unknown:
+        raise ValueError(f"{spec.kind} has no parameter {', '.join(sorted(unknown))}")
+
+
 def _columns(spec: ModelSpec, features: str, label: str) -> dict[str, str]:
     return {"featuresCol": features, "labelCol": label, "predictionCol": f"{spec.name}_pred",
             "rawPredictionCol": f"{spec.name}_raw"}
@@ -123,6 +144,9 @@ def fit_model(spec: ModelSpec, df: DataFrame, *, features: str = "features", lab
               key: str = "row_key"):
     """Fit one model. The few columns it needs are cached for the passes of the learner, in an
     order that follows from key and values; a row without a label trains nothing."""
+    check_parameters(spec)
+    if spec.kind == "boosted" or spec.params.get("variant") == "real":
+        return fit_boosted(spec, df, features, label, key)
     extra = [spec.params["validation"]] if "validation" in spec.params else []
     keyed = [key] if key in df.columns else []
     rows = df.select(features, F.col(label).cast("double").alias(label), *keyed, *extra).filter(F.col(label).isNotNull())
@@ -139,6 +163,33 @@ def fit_model(spec: ModelSpec, df: DataFrame, *, features: str = "features", lab
         return FittedModel(spec.name, PipelineModel([estimator(spec, n, features, label).fit(rows)]))
 
 
+def boosted_setting(spec: ModelSpec, held: int | None = None):
+    """The spec's settings for boosting.py, as they would be for one model."""
+    from .boosting import Setting
+
+    p = {k: v for k, v in spec.params.items() if k not in ("variant", "partitions", "task_bytes")}
+    if "trees" in p:
+        p["trees"] = int(round(p["trees"]))
+    if spec.kind == "adaboost":
+        return Setting(**{"rate": 1.0, "trees": 50, **p, "loss": "ada"}, held=held)
+    if "depth" in p:
+        p["depth"] = int(round(p["depth"]))
+    return Setting(**{"rate": 0.1, "depth": 3, **p}, held=held)
+
+
+def fit_boosted(spec: ModelSpec, df: DataFrame, features: str, label: str, key: str):
+    from .boosting import TASK_BYTES, BoostedModel, bin_rows, fit_many
+
+    rows = with_class_weight(df.filter(F.col(label).isNotNull()), label, WEIGHT) if spec.balanced else df
+    setting = boosted_setting(spec)
+    binned = bin_rows(rows, features=features, label=label, key=key, weight=WEIGHT if spec.balanced else None)
+    try:
+        trees, = fit_many(binned, [setting], task_bytes=spec.params.get("task_bytes", TASK_BYTES))
+    finally:
+        binned.unpersist()
+    return BoostedModel(spec.name, features, trees, binned.cuts, setting.loss)
+
+
 # --- linear machine with probabilities -----------------------------------------------
 
 def _fit_svm(spec: ModelSpec, rows: DataFrame, n: int, features: str, label: str, key: str) -> FittedModel:

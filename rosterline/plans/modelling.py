@@ -27,8 +27,8 @@ LOGISTIC = ModelSpec("logreg", "logistic")
 ELASTIC = ModelSpec("elastic", "elasticnet", {"C": 1.0}, balanced=True)
 SVM = ModelSpec("svm", "svm")
 FOREST = ModelSpec("forest", "forest")
-GBT = ModelSpec("gbt", "gbt")
-ADA = ModelSpec("ada", "adaboost")
+GBT = ModelSpec("gbt", "boosted")
+ADA = ModelSpec("ada", "adaboost", {"variant": "real"})
 SGD = ModelSpec("sgd", "sgd")
 
 
@@ -81,7 +81,7 @@ query("balanced_logreg_scores")(_scores(ModelSpec("balanced", "logistic", balanc
 def gbt_early_stop(spark, sf_dir):
     data = prepare(spark, sf_dir)
     rows = data.train.withColumn("held_out", hash_bucket(F.col(KEY), 10, 5) >= 8)
-    spec = GBT.with_params(validation="held_out", tol=0.01)
+    spec = ModelSpec("gbt", "gbt", {"validation": "held_out", "tol": 0.01})
     return _ids(fit_model(spec, rows).score(data.test), "gbt")
 
 
@@ -205,7 +205,8 @@ def tuned_stack(data: Data, searches: Sequence[tuple[ModelSpec, dict, int]], *,
     return E.fit_stack_holdout(rows, validation, [], bases=bases, name=name)
 
 
-_THREE = [(LOGISTIC, T.SPACES["logistic"], 50), (GBT, T.SPACES["gbt_small"], 50), (ADA, T.SPACES["adaboost"], 50)]
+_THREE = [(LOGISTIC, T.SPACES["logistic"], 50), (GBT.with_params(depth=6), T.SPACES["gbt_small"], 50),
+          (ADA, T.SPACES["adaboost"], 50)]
 _TWO = [(LOGISTIC, T.SPACES["logistic"], 100), (SVM, T.SPACES["svm"], 50)]
 
 
