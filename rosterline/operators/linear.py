@@ -9,16 +9,17 @@ linear machine is rounded off over a width that shrinks from 1 to HINGE in steps
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.scalar import hash_bucket
 from .models import PARTITIONS, settled
 
 BLOCK_ROWS = 1 << 14
@@ -26,7 +27,7 @@ PASS_BYTES = 64 << 20  # Hessians of one pass
 HINGE = 0.01
 TOLERANCE = 1e-9  # of a step, relative to the weights
 MAX_PASSES = 200
-CLASSES = ("logistic", "elasticnet", "svm")
+TASK_BYTES = 64 << 20  # rows that a task may hold whole
 
 
 @dataclass(frozen=True)
@@ -42,11 +43,12 @@ class LinearSetting:
 
 @dataclass
 class Dense:
-    """Blocks of rows as a cached table, the number of features, and rows by (fold, label)."""
+    """Blocks of rows as a cached table, the number of features, rows by (fold, label), and bytes."""
 
     blocks: DataFrame
     width: int
     counts: dict[tuple[int, int], int]
+    size: int
 
 
 def dense_rows(df: DataFrame, *, features: str = "features", label: str = "drafted", key: str = "row_key",
@@ -69,7 +71,8 @@ def dense_rows(df: DataFrame, *, features: str = "features", label: str = "draft
         .withColumn("at", F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
     first = df.select(F.size(vector_to_array(features)).alias("n")).filter("n >= 0").first()
     found = df.filter(F.col(label).isNotNull()).groupBy((F.col(fold) if fold else F.lit(-1)).cast("int"), F.col(label).cast("int")).count().collect()
-    return Dense(table, first[0] if first else 0, {(r[0], r[1]): r[2] for r in found})
+    size = table.agg(F.sum(F.octet_length("x"))).first()[0] or 0
+    return Dense(table, first[0] if first else 0, {(r[0], r[1]): r[2] for r in found}, size)
 
 
 def _loaded(row: dict, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,41 +93,53 @@ def _losses(kind: str, margin: np.ndarray, y: np.ndarray, hinge: float) -> tuple
     return loss, -sign * np.where(beyond, 1.0, np.where(inside, gap / hinge, 0.0)), inside / hinge
 
 
+def _sums(row: dict, width: int, settings: Sequence[LinearSetting], weights: np.ndarray, classes: np.ndarray,
+          hinges: Sequence[float], live: Sequence[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """Weighted sums of loss, gradient and Hessian of each live setting over a block, in one row of numbers."""
+    x, y, f = _loaded(row, width)
+    margins = x @ weights[list(live)].T
+    for j, i in enumerate(live):
+        c = classes[i][y.astype(int)] * (f != settings[i].held if settings[i].held is not None else 1.0)
+        loss, slope, bend = _losses(settings[i].kind, margins[:, j], y, hinges[i])
+        yield i, np.concatenate(([loss @ c], (slope * c) @ x, ((x * (bend * c)[:, None]).T @ x).ravel()))
+
+
 def _pass(dense: Dense, settings: Sequence[LinearSetting], weights: np.ndarray, classes: np.ndarray, hinges: Sequence[float],
-          live: Sequence[int]) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
-    """Weighted sums of loss, gradient and Hessian of each live setting."""
-    width, n = dense.width, dense.width + 1
+          live: Sequence[int]) -> dict[int, np.ndarray]:
+    """_sums over all blocks, by setting."""
+    width = dense.width
     data = dense.blocks.sparkSession.sparkContext.broadcast((weights, classes))
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, by_class = data.value
         held: dict[int, np.ndarray] = {}
-        part = at = None
+        part = None
         for batch in batches:
             for row in batch.to_pylist():
-                part, at = (row["part"], row["at"]) if part is None else (part, at)
-                x, y, f = _loaded(row, width)
-                margins = x @ w[list(live)].T
-                for j, i in enumerate(live):
-                    c = by_class[i][y.astype(int)] * (f != settings[i].held if settings[i].held is not None else 1.0)
-                    loss, slope, bend = _losses(settings[i].kind, margins[:, j], y, hinges[i])
-                    out = np.concatenate(([loss @ c], (slope * c) @ x, ((x * (bend * c)[:, None]).T @ x).ravel()))
+                part = row["part"]
+                for i, out in _sums(row, width, settings, w, by_class, hinges, live):
                     held[i] = held[i] + out if i in held else out
         for i, out in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part], pa.int32()), pa.array([at], pa.int64()),
-                                              pa.array([out.tobytes()], pa.binary())], names=["setting", "part", "at", "sums"])
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part], pa.int32()), pa.array([out.tobytes()], pa.binary())],
+                                             names=["setting", "part", "sums"])
 
     def total(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["part", "at"])  # one order of adding up
+        frame = frame.sort_values("part")  # one order of adding up
         return pd.DataFrame({"setting": frame["setting"].iloc[:1], "sums": [sum(np.frombuffer(s) for s in frame["sums"]).tobytes()]})
 
-    got = dense.blocks.mapInArrow(sums, "setting int, part int, at long, sums binary").groupBy("setting") \
+    got = dense.blocks.mapInArrow(sums, "setting int, part int, sums binary").groupBy("setting") \
         .applyInPandas(total, "setting int, sums binary").collect()  # a row per setting
-    out = {}
-    for r in got:
-        s = np.frombuffer(r["sums"])
-        out[r["setting"]] = float(s[0]), s[1:1 + n], s[1 + n:].reshape(n, n)
-    return out
+    return {r["setting"]: np.frombuffer(r["sums"]) for r in got}
+
+
+def _pass_here(rows: Sequence[dict], width: int, settings, weights, classes, hinges, live) -> dict[int, np.ndarray]:
+    """_pass over blocks that are all here, in the same order."""
+    parts: dict[int, dict[int, np.ndarray]] = {}
+    for row in sorted(rows, key=lambda r: (r["part"], r["at"])):
+        held = parts.setdefault(row["part"], {})
+        for i, out in _sums(row, width, settings, weights, classes, hinges, live):
+            held[i] = held[i] + out if i in held else out
+    return {i: sum(p[i] for _, p in sorted(parts.items())) for i in live} if parts else {}
 
 
 def _penalised_step(w: np.ndarray, g: np.ndarray, h: np.ndarray, l1: float) -> np.ndarray:
@@ -145,37 +160,61 @@ def _penalised_step(w: np.ndarray, g: np.ndarray, h: np.ndarray, l1: float) -> n
     return new
 
 
-def fit_linear_many(dense: Dense, settings: Sequence[LinearSetting]) -> np.ndarray:
-    """Weights of all settings, the intercept last."""
+def fit_linear_many(dense: Dense, settings: Sequence[LinearSetting], *, task_bytes: int = TASK_BYTES) -> np.ndarray:
+    """Weights of all settings, the intercept last. Rows of up to `task_bytes` are handed whole to every task, and each
+    setting is solved in one; beyond, all settings share passes over the rows where they lie."""
     n = dense.width + 1
+    if dense.size <= task_bytes:
+        return _by_setting(dense, settings)
     group = max(1, PASS_BYTES // (8 * n * n))
-    if len(settings) > group:
-        return np.vstack([fit_linear_many(dense, settings[i:i + group]) for i in range(0, len(settings), group)])
+    return np.vstack([_solved(settings[i:i + group], dense.width, dense.counts,
+                              lambda *state, part=settings[i:i + group]: _pass(dense, part, *state))
+                      for i in range(0, len(settings), group)])
+
+
+def _by_setting(dense: Dense, settings: Sequence[LinearSetting]) -> np.ndarray:
+    spark, width, counts = dense.blocks.sparkSession, dense.width, dense.counts
+    data = spark.sparkContext.broadcast([r.asDict() for r in dense.blocks.collect()])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                own = [settings[i]]
+                w = _solved(own, width, counts, lambda *state: _pass_here(data.value, width, own, *state))
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([w[0].tobytes()])], names=["id", "w"])
+
+    tasks = min(len(settings), 4 * spark.sparkContext.defaultParallelism)
+    got = dict(spark.range(0, len(settings), 1, tasks).mapInArrow(run, "id long, w binary").collect())
+    return np.vstack([np.frombuffer(got[i]) for i in range(len(settings))])
+
+
+def _solved(settings: Sequence[LinearSetting], width: int, counts: dict, sums: Callable[..., dict[int, np.ndarray]]) -> np.ndarray:
+    n = width + 1
     many = len(settings)
     weights, classes = np.zeros((many, n)), np.ones((many, 2))
     ridge, lasso, mass = np.zeros(many), np.zeros(many), np.zeros(many)
     for i, s in enumerate(settings):
-        count = [sum(c for (f, y), c in dense.counts.items() if y == k and (s.held is None or f != s.held)) for k in (0, 1)]
+        count = [sum(c for (f, y), c in counts.items() if y == k and (s.held is None or f != s.held)) for k in (0, 1)]
         rows = sum(count)
         if s.balanced:
             classes[i] = [rows / (2.0 * c) if c else 0.0 for c in count]
         mass[i] = max(classes[i] @ count, 1.0)
         share = s.l1_ratio if s.kind == "elasticnet" else 0.0
         ridge[i], lasso[i] = (1 - share) / (s.C * max(rows, 1)), share / (s.C * max(rows, 1))
-    free = np.append(np.ones(dense.width), 0.0)  # the intercept isn't penalised
+    free = np.append(np.ones(width), 0.0)  # the intercept isn't penalised
     hinges = [1.0 if s.kind == "svm" else 0.0 for s in settings]
     best: dict[int, tuple] = {}
     step: dict[int, np.ndarray] = {}
     live = list(range(many))
     trial = weights.copy()
     for _ in range(MAX_PASSES):
-        got = _pass(dense, settings, trial, classes, hinges, live)
+        got = sums(trial, classes, hinges, live)
         done = []
         for i in live:
             if i not in got:  # no rows
                 done.append(i)
                 continue
-            loss, g, h = got[i]
+            loss, g, h = float(got[i][0]), got[i][1:1 + n], got[i][1 + n:].reshape(n, n)
             w = trial[i]
             value = loss / mass[i] + 0.5 * ridge[i] * (free * w) @ w + lasso[i] * np.abs(free * w).sum()
             if i in best and not value <= best[i][0] + 1e-15:
@@ -212,6 +251,55 @@ def _narrower(i: int, hinges: list[float], best: dict, settings: Sequence[Linear
     return [i]
 
 
+@dataclass
+class LinearModel:
+    """Weights, the intercept last, and the slope and intercept that turn margins into log odds."""
+
+    name: str
+    features: str
+    weights: list[float]
+    slope: float = 1.0
+    shift: float = 0.0
+
+    def score(self, df: DataFrame) -> DataFrame:
+        w = F.array(*[F.lit(float(v)) for v in self.weights[:-1]]).cast("array<double>")
+        products = F.zip_with(vector_to_array(F.col(self.features)), w, lambda a, b: a * b)
+        margin = F.aggregate(products, F.lit(float(self.weights[-1])), lambda a, b: a + b)
+        return df.withColumn(self.name, 1.0 / (1.0 + F.exp(-(F.lit(float(self.slope)) * margin + F.lit(float(self.shift))))))
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        from .models import _save_meta
+
+        _save_meta(spark, path, {"class": "linear", **self.__dict__})
+
+
+def fit_linear(kind: str, df: DataFrame, *, name: str, features: str, label: str, key: str, C: float = 1.0, l1_ratio: float = 0.5,
+               balanced: bool = False, folds: int = 3) -> LinearModel:
+    """One model. The linear machine's probabilities come from a logistic model of one feature, the margins of rows that
+    the machine behind them has not seen."""
+    if kind != "svm":
+        dense = dense_rows(df, features=features, label=label, key=key)
+        try:
+            w = fit_linear_many(dense, [LinearSetting(kind, C, l1_ratio, balanced)])[0]
+        finally:
+            dense.blocks.unpersist()
+        return LinearModel(name, features, w.tolist())
+    parts = df.withColumn("_inner", hash_bucket(F.col(key), folds, 7))
+    dense = dense_rows(parts, features=features, label=label, key=key, fold="_inner")
+    try:
+        settings = [LinearSetting("svm", C, 0.0, balanced, f) for f in [*range(folds), None]]
+        w = fit_linear_many(dense, settings)
+        unseen = held_margins_linear(dense, settings[:-1], w[:-1]).select(array_to_vector(F.array("score")).alias("m"), "label")
+        one = dense_rows(unseen, features="m", label="label", key="_none")
+        try:
+            platt = fit_linear_many(one, [LinearSetting("logistic", C=1e6)])[0]
+        finally:
+            one.blocks.unpersist()
+    finally:
+        dense.blocks.unpersist()
+    return LinearModel(name, features, w[-1].tolist(), float(platt[0]), float(platt[1]))
+
+
 def held_margins_linear(dense: Dense, settings: Sequence[LinearSetting], weights: np.ndarray) -> DataFrame:
     """(setting, label, score): margins of the rows of each setting's held fold."""
     width = dense.width

@@ -31,7 +31,7 @@ class ModelSpec:
     """A learner by kind. C is the inverse regularisation over summed loss; rate, trees, depth,
     gamma, min_child, subsample and colsample are the usual boosting settings. gbt is Spark ML's learner, boosted the
     one of boosting.py, with penalties alpha and lam on leaves; adaboost is discrete, or real-valued with variant="real".
-    A parameter that the kind doesn't have is an error."""
+    solver="newton" takes linear models to linear.py. A parameter that the kind doesn't have is an error."""
 
     name: str
     kind: str  # logistic | elasticnet | svm | forest | gbt | boosted | adaboost | sgd
@@ -67,6 +67,10 @@ def load_meta(spark: SparkSession, path: str) -> dict:
 
 def load_model(spark: SparkSession, path: str):
     meta = load_meta(spark, path)
+    if meta["class"] == "linear":
+        from .linear import LinearModel
+
+        return LinearModel(**{k: v for k, v in meta.items() if k != "class"})
     if meta["class"] == "boosted":
         from .boosting import BoostedModel
 
@@ -93,8 +97,8 @@ def settled(rows: DataFrame, by: Sequence[Column], partitions: int = PARTITIONS)
 
 _TREE = {"rate", "trees", "depth", "gamma", "min_child", "subsample", "colsample", "seed"}
 PARAMETERS = {
-    "logistic": {"C", "max_iter"}, "elasticnet": {"C", "max_iter", "l1_ratio"}, "sgd": {"alpha", "max_iter"},
-    "svm": {"C", "max_iter", "folds"}, "forest": {"trees", "depth", "seed"}, "gbt": {*_TREE, "validation", "tol"},
+    "logistic": {"C", "max_iter", "solver"}, "elasticnet": {"C", "max_iter", "l1_ratio", "solver"}, "sgd": {"alpha", "max_iter"},
+    "svm": {"C", "max_iter", "folds", "solver"}, "forest": {"trees", "depth", "seed"}, "gbt": {*_TREE, "validation", "tol"},
     "boosted": {*_TREE, "alpha", "lam", "task_bytes"}, "adaboost": {"rate", "trees", "checkpoint_every", "variant", "task_bytes"}}
 
 
@@ -147,6 +151,11 @@ def fit_model(spec: ModelSpec, df: DataFrame, *, features: str = "features", lab
     check_parameters(spec)
     if spec.kind == "boosted" or spec.params.get("variant") == "real":
         return fit_boosted(spec, df, features, label, key)
+    if spec.params.get("solver") == "newton":
+        from .linear import fit_linear
+
+        own = {k: v for k, v in spec.params.items() if k in ("C", "l1_ratio", "folds")}
+        return fit_linear(spec.kind, df, name=spec.name, features=features, label=label, key=key, balanced=spec.balanced, **own)
     extra = [spec.params["validation"]] if "validation" in spec.params else []
     keyed = [key] if key in df.columns else []
     rows = df.select(features, F.col(label).cast("double").alias(label), *keyed, *extra).filter(F.col(label).isNotNull())

@@ -6,8 +6,10 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from pair_area import auroc
+
 from rosterline.operators import linear as L, tune as T
-from rosterline.operators.models import ModelSpec
+from rosterline.operators.models import ModelSpec, fit_model, load_model
 
 
 @pytest.fixture(scope="module")
@@ -58,8 +60,18 @@ def test_settings_in_groups_are_the_same(rows, monkeypatch):
     s = [L.LinearSetting("logistic", c) for c in (0.1, 1.0, 10.0)]
     dense = L.dense_rows(rows)
     whole = L.fit_linear_many(dense, s)
+    assert np.allclose(whole, L.fit_linear_many(dense, s, task_bytes=0), atol=1e-9)
     monkeypatch.setattr(L, "PASS_BYTES", 1)
-    assert np.allclose(whole, L.fit_linear_many(dense, s), atol=1e-9)
+    assert np.allclose(whole, L.fit_linear_many(dense, s, task_bytes=0), atol=1e-9)
+
+
+def test_models_score_and_reload(spark, rows, tmp_path):
+    y = [r.drafted for r in rows.orderBy("row_key").collect()]
+    for kind in ("logistic", "elasticnet", "svm"):
+        model = fit_model(ModelSpec("m", kind, {"solver": "newton", "C": 0.5}), rows)
+        model.save(spark, f"{tmp_path}/{kind}")
+        got = [[r.m for r in m.score(rows).orderBy("row_key").collect()] for m in (model, load_model(spark, f"{tmp_path}/{kind}"))]
+        assert got[0] == got[1] and auroc(got[0], y) > 0.95 and all(0 < p < 1 for p in got[0])
 
 
 def test_searches(rows):
