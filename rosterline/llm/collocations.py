@@ -10,8 +10,9 @@ word are, so a level counts prefixes that were frequent on the level before, and
 phrase was; others are one common entry of the stripe, so totals stay whole. What was frequent reaches the tasks as a
 Bloom filter of fixed size: it lets some phrases through in vain, but never holds one back, and counts are exact.
 
-A stripe is dealt into parts by a hash of the following word, as the stripe of a very common word is as long as the
-vocabulary; parts are merged in the order of a sort, one at a time."""
+The stripe of a very common prefix can be as long as the vocabulary, so it is dealt into parts by a hash of the following word.
+Which prefixes are that common, the filter tells as well; those it lets through in vain are dealt into parts by all tasks alike.
+Parts are merged in the order of a sort, one at a time."""
 
 from __future__ import annotations
 
@@ -38,7 +39,8 @@ END, RARE = ".", ","  # neither can be in a word
 _TO_END = bytes.maketrans(BREAKS, b"." * len(BREAKS))
 
 ROOT_PARTS, PARTS = 1024, 32
-CHUNK_BYTES = 16 << 20  # of texts that are counted together in a task
+COMMON = 200_000  # occurrences from which a prefix's stripe is dealt into parts, and so the most entries of one that isn't
+CHUNK_BYTES = 8 << 20  # of texts that are counted together in a task
 ROWS = 20_000  # of a batch handed to Spark
 
 STRIPES = "lang string, prefix string, part int, nexts array<string>, counts array<long>"
@@ -56,19 +58,22 @@ def _hashed(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
+_COMMON = np.uint64(0x5851F42D4C957F2D)  # turns a phrase's hash into that of its being common
+
+
 def phrase_filter(phrases: DataFrame) -> Broadcast:
-    """The Bloom filter of phrases (lang, phrase)."""
+    """The Bloom filter of phrases (lang, phrase, a), which also knows those that are common."""
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for lang, phrase, n in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
                 h = _hashed([lang.encode()])
                 for word in _hashed(phrase.encode().split(b" ")):
                     h = _mixed(h, word)
-                out.append(h)
+                out += [h, _mixed(h, _COMMON)] if n >= COMMON else [h]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *out]).view(np.int64))], names=["h"])
 
-    return bloom(phrases.select("lang", "phrase").mapInArrow(hashes, "h long"))
+    return bloom(phrases.select("lang", "phrase", "a").mapInArrow(hashes, "h long"))
 
 
 # --- counting in tasks ---------------------------------------------------------------
@@ -137,7 +142,8 @@ def stripes_of(lang: str, texts: list[bytes], size: int, bits: np.ndarray | None
     owner, entry = pairs // wide, pairs % wide
     prefixes = [words.take(pa.array(ids[at[sample] + j])) for j in range(size)]
     prefix = pc.binary_join_element_wise(*prefixes, b" ") if size > 1 else prefixes[0]
-    part = np.concatenate(((hashes % np.uint64(PARTS)).astype(np.int64), [0, 0]))[entry]
+    common = contains(bits, _mixed(h[at[sample]], _COMMON))
+    part = np.where(common[owner], np.concatenate(((hashes % np.uint64(PARTS)).astype(np.int64), [0, 0]))[entry], 0)
     order = np.lexsort((part, owner))
     names = pa.concat_arrays([words, pa.array([END.encode(), RARE.encode()])])
     yield from _listed(lang, prefix, owner[order], part[order], names.take(pa.array(entry[order])), counts[order])

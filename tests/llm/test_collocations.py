@@ -84,6 +84,7 @@ def test_no_rows_and_no_words(spark, corpus):
 def test_long_prefixes_are_merged_from_many_parts(spark, monkeypatch):
     """A very common word, followed by many words, in texts that are counted in many chunks."""
     monkeypatch.setattr(C, "CHUNK_BYTES", 500)
+    monkeypatch.setattr(C, "COMMON", 1000)
     rng = random.Random(1)
     rows = [(" ".join(f"the w{rng.randrange(40)}" for _ in range(30)), "en") for _ in range(80)]
     docs = spark.createDataFrame(rows, "text string, lang string").repartition(7)
