@@ -6,11 +6,19 @@ round: a pattern is trusted once enough of its distinct instances are, an instan
 it. Occurrences of trusted instances behind trusted patterns are added spans, of kind `context`. Rounds work on counts,
 the texts are read once. DataFrame functions only.
 
-Places are code points, ends exclusive; null texts count as empty."""
+A pattern is the last two words in front of the word in which an instance begins (one where there is no second, none at
+the start of a text), in lower case, of words over WORD_CHARS characters the last WORD_CHARS. An instance no fixed pattern
+knows is a word with MIN_LENGTH characters and MIN_DIGITS digits or more, without the marks around it; shorter words
+with digits are amounts, dates or numbers of parts too often to be told from identifiers by what stands in front of them.
+
+Work and memory of a text grow with its length and its matches alone, however many matches one text holds. Places are
+code points, ends exclusive; null texts count as empty."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import materialize, row_of, text_keys
 
@@ -30,36 +38,61 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]"}
 
 IDENTIFIER = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"  # a word with a digit
-CONTEXT_CHARS = 80
-CONTEXT = r"((?:\S+\s+)?\S+)\s+\S*$"  # up to two words in front, of the word in which a match begins
+WORD_CHARS = 64  # of a longer word in front, so many of its last characters count
+_WORD = rf"(\s)\s*+(\S{{1,{WORD_CHARS}}}+)\S*+"
+#: What a reversed text begins with: the start of the word it ends in, the words before that one, and a space before those.
+LAST_WORDS = rf"(?s)^(\S{{0,{WORD_CHARS}}}+)\S*+(?:{_WORD}(?:{_WORD})?+)?+(\s?+).*"
+CONTEXT = r"^\s*(\S+(?:\s\S+)?)\s\S*$"  # of such words, those in front
+BLOCK = 256  # matches of a text that are added up together
 MIN_DIGITS, MIN_LENGTH = 3, 5
 MIN_SUPPORT, TRUST = 3, 80
-FOUND = "array<struct<start:int,end:int,found:string,before:string>>"
+FOUND = "struct<start:int,end:int,found:string,before:string>"
 
 
 def _tail(c: Column) -> Column:
-    return F.substring(c, -CONTEXT_CHARS, CONTEXT_CHARS)
+    """The last two words of a text and the beginning of a third, with the spaces between and in front cut to one."""
+    return F.reverse(F.regexp_replace(F.reverse(c), LAST_WORDS, "$1$2$3$4$5$6"))
+
+
+def _bound(c: Column, use: Callable[[Column], Column]) -> Column:
+    """use(c), where c is worked out once however often it is used."""
+    return F.transform(F.array(c), use)[0]
+
+
+def _blocks(items: Column) -> Column:
+    """An array cut into arrays of BLOCK items, the last one of fewer or none. Appending to an array copies it, so long
+    arrays are built block by block."""
+    return F.transform(F.sequence(F.lit(0), F.floor(F.size(items) / BLOCK).cast("int")),
+                       lambda i: F.slice(items, i * BLOCK + 1, BLOCK))
 
 
 def matches(text: Column, pattern: str, hint: str) -> Column:
-    """Places, strings and the last characters of the text before each of the leftmost non-overlapping matches. The
-    pieces between matches give both: lengths are added up, and the text's last characters are carried on."""
+    """Places, strings and the last words of the text before each of the leftmost non-overlapping matches. The pieces
+    between matches give both: lengths are added up, and the text's last words are carried on."""
     between = F.split(text, pattern, -1)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    both = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda b, m: F.struct(
-        F.char_length(b).alias("gap"), F.char_length(m).alias("len"), m.alias("found"),
-        _tail(b).alias("before")))
+    both = _bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: F.zip_with(
+        F.slice(between, 1, F.size(found)), found, lambda b, m: F.struct(
+            F.char_length(b).alias("gap"), F.char_length(m).alias("len"), m.alias("found"), _tail(b).alias("before"))))
 
     def add(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
         end = start + x["len"]
-        before = _tail(F.concat(acc["tail"], x["before"]))
-        one = F.struct(start.alias("start"), end.alias("end"), x["found"].alias("found"), before.alias("before"))
-        return F.struct(end.alias("at"), _tail(F.concat(before, _tail(x["found"]))).alias("tail"),
-                        F.concat(acc["out"], F.array(one)).alias("out"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast(FOUND).alias("out"))
-    return F.when(text.rlike(hint), F.aggregate(both, zero, add, lambda acc: acc["out"])).otherwise(F.array().cast(FOUND))
+        def more(before: Column) -> Column:
+            one = F.struct(start.alias("start"), end.alias("end"), x["found"].alias("found"), before.alias("before"))
+            return F.struct(end.alias("at"), _tail(F.concat(before, x["found"])).alias("tail"),
+                            F.concat(acc["out"], F.array(one)).alias("out"))
+
+        return _bound(_tail(F.concat(acc["tail"], x["before"])), more)
+
+    def add_block(acc: Column, block: Column) -> Column:
+        zero = F.struct(acc["at"].alias("at"), acc["tail"].alias("tail"), F.array().cast(f"array<{FOUND}>").alias("out"))
+        return F.aggregate(block, zero, add, lambda own: F.struct(
+            own["at"].alias("at"), own["tail"].alias("tail"), F.concat(acc["out"], F.array(own["out"])).alias("out")))
+
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast(f"array<array<{FOUND}>>").alias("out"))
+    every = _bound(both, lambda all_: F.aggregate(_blocks(all_), zero, add_block, lambda acc: F.flatten(acc["out"])))
+    return F.when(text.rlike(hint), every).otherwise(F.array().cast(f"array<{FOUND}>"))
 
 
 def digits(c: Column) -> Column:
@@ -107,27 +140,33 @@ def base_spans(docs: DataFrame, keep: list[str], text: str = "text") -> DataFram
 
 
 def _pattern(before: Column) -> Column:
-    return F.regexp_replace(F.lower(F.regexp_extract(before, CONTEXT, 1)), r"\s+", " ")
+    return F.regexp_replace(F.lower(F.regexp_extract(before, CONTEXT, 1)), r"\s", " ")
 
 
-def graph_candidates(rows: DataFrame, row: str) -> DataFrame:
+def graph_candidates(rows: DataFrame, row: str, min_length: int = MIN_LENGTH, min_digits: int = MIN_DIGITS) -> DataFrame:
     """(row, start, end, pattern, instance, seed): the whole base spans (seed), but for those that begin within another,
-    and identifiers that touch none, without the marks around them."""
-    every = rows.filter(F.size("seeds") > 0).select(row, F.explode("seeds").alias("s"), F.col("seeds").alias("_base"))
-    inner = F.exists("_base", lambda b: ((b["start"] < F.col("s.start")) & (b["end"] > F.col("s.start")))
-                     | ((b["start"] == F.col("s.start")) & (b["end"] > F.col("s.end"))))
-    seeds = every.filter(~inner).select(row, "s.start", "s.end", _pattern(F.col("s.before")).alias("pattern"),
-                                        F.col("s.found").alias("instance"), F.lit(True).alias("seed"))
-    c = rows.filter(F.size("candidates") > 0).select(row, F.col("seeds").alias("_base"), F.explode("candidates").alias("c"))
+    and identifiers that touch none, without the marks around them. A text's spans are sorted, and the furthest end of
+    the base spans that begin before a place tells what reaches over it."""
+    seeds = rows.select(row, F.explode("seeds").alias("s")).select(
+        row, F.col("s.start").alias("at"), "s.start", "s.end", F.col("s.start").alias("_from"),
+        _pattern(F.col("s.before")).alias("pattern"), F.col("s.found").alias("instance"), F.lit(True).alias("seed"))
+    c = rows.select(row, F.explode("candidates").alias("c"))
     unmarked = F.regexp_replace("c.found", r"^[^\p{L}\p{N}+]+", "")
-    bare = F.regexp_replace(unmarked, r"[^\p{L}\p{N}]+$", "")
+    bare = F.regexp_replace(unmarked, r"[^\p{L}\p{N}]++$", "")
     start = F.col("c.start") + F.char_length("c.found") - F.char_length(unmarked)
-    touches = F.exists("_base", lambda b: (b["start"] < F.col("c.end")) & (b["end"] > F.col("c.start")))
-    others = c.filter(~touches).select(
-        row, start.alias("start"), (start + F.char_length(bare)).alias("end"), _pattern(F.col("c.before")).alias("pattern"),
-        bare.alias("instance"), F.lit(False).alias("seed")) \
-        .filter((F.char_length("instance") >= MIN_LENGTH) & (F.char_length(digits(F.col("instance"))) >= MIN_DIGITS))
-    return seeds.union(others).filter("pattern != ''")
+    others = c.select(
+        row, F.col("c.end").alias("at"), start.alias("start"), (start + F.char_length(bare)).alias("end"),
+        F.col("c.start").alias("_from"), _pattern(F.col("c.before")).alias("pattern"), bare.alias("instance"),
+        F.lit(False).alias("seed")) \
+        .filter((F.char_length("instance") >= min_length) & (F.char_length(digits(F.col("instance"))) >= min_digits)
+                & (F.col("pattern") != ""))
+    by_place = Window.partitionBy(row).orderBy("at")
+    end = F.when(F.col("seed"), F.col("end"))
+    before = F.max(end).over(by_place.rangeBetween(Window.unboundedPreceding, -1))
+    beside = F.max(end).over(by_place.rangeBetween(0, 0))
+    placed = seeds.union(others).withColumns({"_before": before, "_beside": beside})
+    within = (F.coalesce("_before", F.lit(0)) > F.col("_from")) | (F.col("seed") & (F.col("_beside") > F.col("end")))
+    return placed.filter(~within & (F.col("pattern") != "")).select(row, "start", "end", "pattern", "instance", "seed")
 
 
 def trusted_pairs(found: DataFrame, support: int = MIN_SUPPORT, trust: int = TRUST) -> DataFrame:
@@ -184,16 +223,30 @@ def private_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
 def redacted(text: Column, spans: Column) -> Column:
     """The text with each span replaced by its kind in angle brackets; spans that overlap are one, named by the first.
-    spans: array of (start, end, kind) by start."""
-    def step(acc: Column, s: Column) -> Column:
-        clear = s["start"] >= acc["at"]
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        out = F.when(clear, F.concat(acc["out"], gap, F.lit("<"), F.upper(s["kind"]), F.lit(">"))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
-
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    return F.aggregate(spans, zero, step, lambda acc: F.concat(
-        acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
+    spans: array of (start, end, kind) by start. The text is cut into the parts that blocks of spans reach to, and a span is
+    looked up in its part."""
+    def in_part(part: Column, first: Column) -> Callable[[Column, Column], Column]:
+        def step(acc: Column, s: Column) -> Column:
+            gap = F.substring(part, acc["at"] - first + 1, s["start"] - acc["at"])
+            more = F.array(gap, F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))
+            return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
+                            F.when(s["start"] >= acc["at"], F.concat(acc["out"], more)).otherwise(acc["out"]).alias("out"))
+        return step
+
+    def add_block(acc: Column, block: Column) -> Column:
+        upto = F.greatest(acc["at"], F.coalesce(F.array_max(F.transform(block, lambda s: s["end"])), F.lit(0)))
+
+        def cut(end: Column) -> Column:
+            zero = F.struct(acc["at"].alias("at"), F.array().cast("array<string>").alias("out"))
+            return _bound(F.substring(acc["rest"], F.lit(1), end - acc["at"]), lambda part: F.aggregate(
+                block, zero, in_part(part, acc["at"]), lambda own: F.struct(
+                    end.alias("at"), F.substring(acc["rest"], end - acc["at"] + 1, F.char_length(acc["rest"])).alias("rest"),
+                    F.concat(acc["out"], F.array(F.array_join(own["out"], ""))).alias("out"))))
+        return _bound(upto, cut)
+
+    zero = F.struct(F.lit(0).alias("at"), text.alias("rest"), F.array().cast("array<string>").alias("out"))
+    return _bound(spans, lambda all_: F.aggregate(_blocks(all_), zero, add_block, lambda acc: F.concat(
+        F.array_join(acc["out"], ""), acc["rest"])))
 
 
 def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars") -> DataFrame:

@@ -1,6 +1,7 @@
 """Quality rules, personal data and the pipeline against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -139,6 +140,71 @@ def test_seeds_are_whole_matches_with_the_text_in_front(corpus):
     assert rows[19] == ""  # 'the box' is another context than 'box'
 
 
+def slow_context(text, at):
+    """The last two words in front of the word in which a match begins, each by its last characters."""
+    words = re.findall(r"\S+", text[:at], re.ASCII)
+    front = words if not text[:at] or re.search(r"\s$", text[:at], re.ASCII) else words[:-1]
+    return " ".join(w[-pii.WORD_CHARS:] for w in front[-2:]).lower()
+
+
+def slow_added(texts):
+    """Spans added to each text: contexts scored by plain loops over all pairs."""
+    found = []
+    for i, t in enumerate(texts):
+        base = [(a, b) for _, a, b in slow_spans(t or "")]
+        for a, b in base:
+            if not any((c < a < d) or (c == a and d > b) for c, d in base):
+                found.append((i, a, b, slow_context(t, a), t[a:b], True))
+        for m in re.finditer(r"\S*[0-9]\S*", t or "", re.ASCII):
+            marks = re.fullmatch(r"([^A-Za-z0-9+]*)(.*?)([^A-Za-z0-9]*)", m.group(), re.DOTALL)
+            a, name = m.start() + len(marks[1]), marks[2]
+            if not any(c < m.end() and d > m.start() for c, d in base) and len(name) >= 5 and sum(c in "0123456789" for c in name) >= 3:
+                found.append((i, a, a + len(name), slow_context(t, m.start()), name, False))
+    found = [f for f in found if f[3]]
+    led = {}
+    for *_, pattern, name, _seed in found:
+        led.setdefault(pattern, set()).add(name)
+    known = {f[4] for f in found if f[5]}
+    while True:
+        trusted = {p for p, names in led.items() if len(names & known) >= 3 and 100 * len(names & known) >= 80 * len(names)}
+        more = set().union(*[led[p] for p in trusted], known)
+        if more == known:
+            break
+        known = more
+    return [sorted({f[1:3] for f in found if f[0] == i and f[3] in trusted and not f[5]}) for i in range(len(texts))]
+
+
+def test_added_spans_by_brute_force(corpus):
+    rng = random.Random(8)
+    fronts = ["mail me at", "call", "see box", "lot no", "id", "a" * 70 + " is", "is  \n at", "x" * 200]
+    names = ["ann@host.org", "b7.c@x.yz", "+1 (988) 555-2485", "10.0.0.1", "AB-99812", "(KK-12345),", "12345", "4532015112830366", "1.2.3.4.5",
+             "no", "Q77", "4111111111111111@x.com", "ann@host.org,z9000@q.rs", "+44 20 7946 0958 QX-4471"]
+    texts = [" ".join(f"{rng.choice(fronts)}{rng.choice(' \t')}{rng.choice(names[:4] if rng.random() < .6 else names)}"
+                      + (str(rng.randrange(900, 940)) if rng.random() < .5 else "") for _ in range(rng.randint(0, 12))) for _ in range(60)]
+    want = slow_added([*texts, None, ""])
+    assert sum(map(len, want)) > 5
+    for r in pii.private_spans(corpus([*texts, None, ""])).collect():
+        got = [s for s in r.spans.split(",") if s.startswith("context")]
+        assert got == [f"context:{a}:{b}" for a, b in want[r.doc_id]], r.doc_id
+
+
+def test_a_text_full_of_identifiers(corpus):
+    many = 20_000
+    text = "".join(f"é call +1 988 55{i:05d} or write u{i}@h.org then go to AB-{i:05d}\n" for i in range(many // 4)) \
+        + ",".join(f"v{i}@h.org" for i in range(many // 2))
+    docs = corpus([text, "plain"])
+    rows = {r.doc_id: r for r in pii.private_spans(docs).collect()}
+    want = slow_spans(text)
+    assert rows[0].base_sha256 == hashlib.sha256(listed(want).encode()).hexdigest()
+    assert rows[0].n_email == 3 * many // 4 and rows[0].n_phone == many // 4
+    clean = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    at, out = 0, []
+    for a, b, kind in sorted((a, b, k) for k, a, b in want):
+        out += [text[at:a], f"<{kind.upper()}>"]
+        at = b
+    assert clean == {0: "".join([*out, text[at:]]), 1: "plain"}
+
+
 def test_contexts_follow_chains_of_any_length(spark):
     seeds, new = [f"s{i}" for i in range(12)], lambda k: [f"x{k}-{i}" for i in range(3)]
     # A pattern is trusted when what the one before leads to is known: 15 of 18, against 12 of 18 by seeds alone.
