@@ -205,11 +205,12 @@ def _margin(weights: Sequence[float], features: str):
     return dot(vector_to_array(F.col(features)))
 
 
-def _closest_to_origin(points: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Convex weights of the points whose mean is closest to the origin, by pairwise steps from the given ones."""
+def _closest_to_origin(points: np.ndarray, weights: np.ndarray, max_steps: int = 20_000) -> np.ndarray:
+    """Convex weights of the points whose mean is closest to the origin, by pairwise steps from the given ones. Ending at
+    max_steps warns; the fit goes on from there, as its own test of convergence doesn't rest on this one."""
     gram = points @ points.T
     w = weights.copy()
-    for _ in range(20_000):
+    for _ in range(max_steps):
         slope = gram @ w
         best = int(slope.argmin())
         worst = int(np.where(w > 0, slope, -np.inf).argmax())
@@ -220,6 +221,8 @@ def _closest_to_origin(points: np.ndarray, weights: np.ndarray) -> np.ndarray:
         step = min(w[worst], gap / curve)
         w[best] += step
         w[worst] = w[worst] - step if step < w[worst] else 0.0
+    else:
+        warnings.warn(f"the mixture of means was left after {max_steps} steps", RuntimeWarning, stacklevel=3)
     return w
 
 

@@ -147,6 +147,14 @@ def test_one_folder_from_raw_rows_to_scores(spark, sf_dir, tmp_path):
     assert both[0] == both[1] and len(both[0]) == test.count() > 0
 
 
+def test_mixture_of_means_says_when_it_stops_short():
+    points = np.array([[1.0, 0.0], [0.0, 1.0], [2.0, 2.0]])
+    start = np.array([0.0, 0.0, 1.0])
+    with pytest.warns(RuntimeWarning, match="after 1 steps"):
+        A._closest_to_origin(points, start, 1)
+    assert np.allclose(A._closest_to_origin(points, start), [0.5, 0.5, 0.0])
+
+
 def test_one_class_fit_says_when_it_stops_short(rows):
     with pytest.warns(RuntimeWarning):
         assert not A.fit_one_class(rows, max_iter=1, tol=1e-12).converged
