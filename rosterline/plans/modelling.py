@@ -116,6 +116,16 @@ def stack_holdout_balanced(spark, sf_dir):
     return _ids(E.fit_stack_holdout(*data.holdout(), specs).score(data.test), "stack")
 
 
+def _with_centre_distance(panel: DataFrame, train: DataFrame) -> DataFrame:
+    """The panel with the vector of scaled columns, distance to the nearest centre and categories, all fitted on train."""
+    scale = Scaler().fit(train, NUMERIC)
+    z = lambda df: df.withColumns({f"z_{c}": e for c, e in scale.exprs().items()})
+    columns = [f"z_{c}" for c in NUMERIC]
+    model = R.fit_kmeans(z(train), columns, R.best_k(R.silhouette_by_k(z(train), columns)))
+    widened = lambda df: R.add_kmeans_distance(z(df), columns, model)
+    return fit_preprocessor(widened(train), [*NUMERIC, "kmeans_distance"], CATEGORICAL).transform(widened(panel))
+
+
 @query("stack_holdout_kmeans")
 def stack_holdout_kmeans(spark, sf_dir):
     """Holdout stack with the distance to the nearest cluster centre as a further feature."""
@@ -123,13 +133,7 @@ def stack_holdout_kmeans(spark, sf_dir):
     panel = C.fill_medians(panel, frames.train_rows(panel), NUMERIC)
     with cached(panel) as panel:
         train, _ = hash_parts(frames.train_rows(panel), F.col(KEY))
-        scale = Scaler().fit(train, NUMERIC)
-        z = lambda df: df.withColumns({f"z_{c}": e for c, e in scale.exprs().items()})
-        columns = [f"z_{c}" for c in NUMERIC]
-        model = R.fit_kmeans(z(train), columns, R.best_k(R.silhouette_by_k(z(train), columns, range(2, 11))))
-        widened = lambda df: R.add_kmeans_distance(z(df), columns, model)
-        prep = fit_preprocessor(widened(train), [*NUMERIC, "kmeans_distance"], CATEGORICAL)
-        rows = checkpointed(prep.transform(widened(panel)).select("player_id", "year", "row_key", "drafted", "features"))
+        rows = checkpointed(_with_centre_distance(panel, train).select("player_id", "year", "row_key", "drafted", "features"))
     data = Data(frames.train_rows(rows), frames.test_rows(rows))
     return _ids(E.fit_stack_holdout(*data.holdout(), [LOGISTIC, SVM]).score(data.test), "stack")
 
@@ -245,19 +249,13 @@ def stack_grid_tuned(spark, sf_dir):
 
 @query("knn_kmeans_model")
 def knn_kmeans_model(spark, sf_dir):
-    """Nearest-neighbour model on scaled columns and the distance to the nearest cluster centre.
+    """Nearest-neighbour model on scaled columns, the distance to the nearest cluster centre and one-hot categories.
     One neighbour search per fold, with the largest k, serves every candidate."""
     panel = frames.panel(spark, sf_dir).withColumn("row_key", season_key())
     panel = C.fill_medians(panel, frames.train_rows(panel), NUMERIC)
     with cached(panel) as panel:
-        train = frames.train_rows(panel)
-        scale = Scaler().fit(train, NUMERIC)
-        z = lambda df: df.withColumns(scale.exprs())
-        model = R.fit_kmeans(z(train), NUMERIC, R.best_k(R.silhouette_by_k(z(train), NUMERIC)))
-        widened = lambda df: R.add_kmeans_distance(z(df), NUMERIC, model)
-        again = Scaler().fit(widened(train), ["kmeans_distance"])
-        vector = F.array(*[F.col(c).cast("double") for c in [*NUMERIC, "kmeans_distance"]]).alias("x")
-        rows = checkpointed(again.transform(widened(panel)).select("player_id", "year", "row_key", "drafted", vector))
+        prepared = _with_centre_distance(panel, frames.train_rows(panel))
+        rows = checkpointed(prepared.select("player_id", "year", "row_key", "drafted", vector_to_array("features").alias("x")))
     folds = checkpointed(with_stratified_fold(frames.train_rows(rows), "drafted", F.col(KEY), ["row_key"], folds=5))
     best = best_knn(folds, folds_n=5)
     found = N.nearest(frames.test_rows(rows), folds, best["k"], q_key="row_key", t_key="row_key", payload="drafted")

@@ -158,20 +158,33 @@ def nearest_center_distance(spark, sf_dir):
         "player_id", "year", F.round(R.nearest_centre_distance(["mp", "pts", "ast"], _CENTRES), 4).alias("distance"))
 
 
-@query("silhouette_exact", f"""WITH {EMB}, d AS (
-  SELECT a.vec_id, a.label, b.label AS other, sum(list_sum(list_transform(range(1, {DIM + 1}),
-    lambda i: (a.x[i] - b.x[i]) * (a.x[i] - b.x[i])))) AS total, count(*) AS n
+def _silhouette_sql(distance: str) -> str:
+    return f"""WITH {EMB}, d AS (
+  SELECT a.vec_id, a.label, b.label AS other, sum({distance.format(square=f"""list_sum(list_transform(range(1, {DIM + 1}),
+    lambda i: (a.x[i] - b.x[i]) * (a.x[i] - b.x[i])))""")}) AS total, count(*) AS n
   FROM emb a JOIN emb b ON a.vec_id <> b.vec_id GROUP BY a.vec_id, a.label, b.label),
 ab AS (SELECT vec_id, label, max(CASE WHEN label = other THEN total / n END) AS a,
     min(CASE WHEN label <> other THEN total / n END) AS b FROM d GROUP BY vec_id, label)
-SELECT vec_id, label, round(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END, 6) AS silhouette FROM ab""")
-def silhouette_exact(spark, sf_dir):
+SELECT vec_id, label, round(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END, 6) AS silhouette FROM ab"""
+
+
+def _embedding_columns(spark, sf_dir):
     cols = [f"x{i}" for i in range(DIM)]
-    emb = frames.embeddings(spark, sf_dir).select(
-        "vec_id", "label", *[F.col("x")[i].alias(c) for i, c in enumerate(cols)])
+    return frames.embeddings(spark, sf_dir).select("vec_id", "label", *[F.col("x")[i].alias(c) for i, c in enumerate(cols)]), cols
+
+
+@query("silhouette_exact", _silhouette_sql("{square}"))
+def silhouette_exact(spark, sf_dir):
+    emb, cols = _embedding_columns(spark, sf_dir)
     return rounded(R.silhouette(emb, cols, "label").select("vec_id", "label", "silhouette"), 6, "silhouette")
 
 
+@query("silhouette_plain", _silhouette_sql("sqrt({square})"))
+def silhouette_plain(spark, sf_dir):
+    emb, cols = _embedding_columns(spark, sf_dir)
+    return rounded(R.plain_silhouette(emb, cols, "label").select("vec_id", "label", "silhouette"), 6, "silhouette")
+
+
 def _complete(spark, sf_dir):
     panel = frames.once(frames.panel(spark, sf_dir))
     filled = C.fill_medians(panel, frames.train_rows(panel), NUMERIC)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from rosterline.operators import anomaly as A, ensemble as E, models as M, reduce as R, select as S, tune as T
+from rosterline.operators import anomaly as A, ensemble as E, models as M, reduce as R, select as S, silhouettes as SIL, tune as T
 from rosterline.operators.evaluate import auroc_value
 from rosterline.operators.split import hash_parts, with_stratified_fold
 from rosterline.plans.modelling import oversample
@@ -155,6 +155,48 @@ def test_silhouette_special_cases(spark):
         R.silhouette(df.filter("c = 1"), ["a"], "c")
 
 
+@pytest.mark.parametrize("whole_bytes, block_rows", [(1 << 20, 100), (0, 100_000), (0, 17)])
+def test_plain_silhouette(spark, whole_bytes, block_rows):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(60, 3)) + c for c in ((0, 0, 0), (6, 0, 0), (1, 1, 1), (40, 40, 40))])
+    c = np.repeat(list("abcd"), 60)
+    x[:5] = x[0]  # repeated rows
+    x, c = np.concatenate([x, [[3.0, 3.0, 3.0]]]) + 1e4, np.append(c, "alone")
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    want = {}
+    for i, own in enumerate(c):
+        mean = {g: d[i, c == g].sum() / max(1, (c == g).sum() - (g == own)) for g in set(c)}
+        a, b = mean.pop(own), min(v for g, v in mean.items() if g != own)
+        want[i] = 0.0 if own == "alone" else (b - a) / max(a, b)
+    df = spark.createDataFrame([(i, *map(float, r), str(g)) for i, (r, g) in enumerate(zip(x, c))],
+                               "id int, x double, y double, z double, c string").repartition(3)
+    out = R.plain_silhouette(df, ["x", "y", "z"], "c", whole_bytes=whole_bytes, block_rows=block_rows)
+    assert out.columns == [*df.columns, "silhouette"]
+    got = {r.id: r.silhouette for r in out.collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in want)
+
+
+def test_plain_silhouette_special_cases(spark):
+    df = spark.createDataFrame([(0.0, 1), (0.0, 1), (0.0, 2), (0.0, 2)], "a double, c int")
+    for size in (0, 1 << 20):
+        assert [r.silhouette for r in R.plain_silhouette(df, ["a"], "c", whole_bytes=size).collect()] == [0.0] * 4
+    with pytest.raises(ValueError, match="two clusters"):
+        R.plain_silhouette(df.filter("c = 1"), ["a"], "c")
+    for row in ((None, 1), (1.0, None), (float("nan"), 1)):
+        with pytest.raises(ValueError, match="finite"):
+            R.plain_silhouette(df.union(spark.createDataFrame([row], df.schema)), ["a"], "c")
+    with pytest.raises(ValueError, match="plain or squared"):
+        R.silhouette_by_k(df, ["a"], [2], distance="city")
+
+
+def test_clusters_are_ruled_out(spark):
+    x = np.array([[0.0], [1.0], [10.0], [11.0], [100.0], [101.0]]) - 37.0
+    own = np.array([0, 0, 1, 1, 2, 2])
+    n = np.array([2.0, 2.0, 2.0])
+    m = SIL.Moments([], None, n, np.array([(x[own == g] ** 2).sum() for g in range(3)]), np.array([x[own == g].sum(0) for g in range(3)]))
+    assert SIL.needed_clusters(x, own, m).tolist() == [[True, True, False]] * 4 + [[False, True, True]] * 2
+
+
 def test_selection(spark):
     rng = np.random.default_rng(1)
     data = [(int(y), float(y + rng.normal() * 0.1), float(rng.normal()), "u" if y else "v", "abcd"[rng.integers(4)], "k_1")
