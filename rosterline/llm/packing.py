@@ -1,11 +1,12 @@
 """Packing of documents into sequences of a fixed capacity by Karmarkar-Karp multiway differencing.
 
 Each task encodes its documents and cuts them: windows of full capacity stand alone, the rest is cut into pieces of at
-most `piece` ids. Pieces are gathered into blocks of some hundred windows; for a block, every piece starts as a
-partial partition of its own, and the two whose window sums are most uneven are merged, largest sums onto smallest,
-until one is left. Its windows are nearly equal. If one of them exceeds the capacity, the block is packed anew into
-one window more. Nothing is shuffled and a block's size is bounded, so any row may be as long or as frequent as it
-likes.
+most `piece` ids. Pieces are gathered into blocks of some hundred windows. Those below a 64th of the capacity are first put
+together, in their order, to bundles of up to that size, so that a block has as many windows with short documents as
+with long ones. For a block, every piece or bundle starts as a partial partition of its own, and the two whose window
+sums are most uneven are merged, largest sums onto smallest, until one is left. Its windows are nearly equal. If one of
+them exceeds the capacity, the block is packed anew into one window more. Nothing is shuffled and a block's size is
+bounded, so any row may be as long or as frequent as it likes.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from .common import tokenizer_file
 from .wordids import WIDE, word_encoder
 
 
+BUNDLE = 64
 KEEP_PARTS = 1_500_000  # distinct parts of texts that a worker remembers
 
 
@@ -89,6 +91,21 @@ def pack(sizes: list[int], capacity: int) -> list[list[int]]:
     return []
 
 
+def bundled(sizes: list[int], least: int) -> list[list[int]]:
+    """Indexes of the sizes: one alone if it is `least` or more, smaller ones together up to `least`, in their order."""
+    out, open_, held = [], [], 0
+    for i, s in enumerate(sizes):
+        if s >= least:
+            out.append([i])
+            continue
+        if held + s > least:
+            out.append(open_)
+            open_, held = [], 0
+        open_.append(i)
+        held += s
+    return [*out, open_] if open_ else out
+
+
 def cut(length: int, capacity: int, piece: int) -> Iterator[tuple[int, int]]:
     """(start, length) of a document's pieces: full windows, then pieces of at most `piece`."""
     at = 0
@@ -122,19 +139,19 @@ def packed_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capa
         keys: list = []
         rows: list[tuple[int, int, int, int]] = []  # start, length, crc, tokens of the document
         ids: list[bytes] = []
-        weight = 0
+        weight = whole = 0  # ids to pack, and windows that are full already
 
         def flush() -> pa.RecordBatch:
-            nonlocal sequence, weight
+            nonlocal sequence, weight, whole
             full = [i for i, r in enumerate(rows) if r[1] == capacity]
             rest = [i for i, r in enumerate(rows) if r[1] < capacity]
             seq, off = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
             seq[full] = sequence + np.arange(len(full))
             sequence += len(full)
-            for window in pack([rows[i][1] for i in rest], capacity):
+            units = bundled([rows[i][1] for i in rest], max(1, capacity // BUNDLE))
+            for window in pack([sum(rows[rest[j]][1] for j in u) for u in units], capacity):
                 at = 0
-                for j in window:
-                    i = rest[j]
+                for i in (rest[j] for u in window for j in units[u]):
                     seq[i], off[i] = sequence, at
                     at += rows[i][1]
                 sequence += 1
@@ -142,7 +159,7 @@ def packed_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capa
             out = [pa.array(keys, key_type), *cols, pa.array(seq), pa.array(off)]
             out += [pa.array(ids, pa.binary())] if with_ids else []
             keys.clear(), rows.clear(), ids.clear()
-            weight = 0
+            weight = whole = 0
             return pa.RecordBatch.from_arrays(out, names=names)
 
         for batch in batches:
@@ -157,7 +174,8 @@ def packed_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capa
                     if with_ids:
                         ids.append(bytes(part))
                     weight += n if n < capacity else 0
-                    if weight >= block * capacity or len(rows) >= 32 * block:
+                    whole += n == capacity
+                    if weight >= block * capacity or whole >= 32 * block:
                         yield flush()
         if rows:
             yield flush()

@@ -132,6 +132,21 @@ def test_little_padding(corpus):
     assert sum(r.length for r in rows) / (4096 * len({r.sequence_id for r in rows})) > 0.97
 
 
+@pytest.mark.parametrize("least, most", [(1, 2), (1, 4), (3, 8), (8, 16), (60, 70)])
+def test_little_padding_of_short_documents(corpus, least, most):
+    rng = np.random.default_rng(6)
+    texts = [" ".join(["word"] * int(n - 1)) for n in rng.integers(least, most + 1, 200_000 // (least + most))]
+    rows = K.packed_pieces(corpus(texts, partitions=1)).toPandas()
+    windows = rows.groupby("sequence_id")["length"].sum()
+    assert len(rows) == len(texts) and windows.max() <= 4096
+    assert len(windows) <= rows["length"].sum() / 4096 * 1.01 + 1
+
+
+def test_bundles_keep_order_and_size():
+    assert K.bundled([9, 3, 4, 8, 1, 2, 6, 12, 1], 8) == [[0], [3], [1, 2, 4], [7], [5, 6], [8]]
+    assert K.bundled([], 8) == [] and K.bundled([1, 1, 1], 1) == [[0], [1], [2]]
+
+
 # --- unigram counts --------------------------------------------------------------------
 
 def slow_count(word, scores, unknown):
