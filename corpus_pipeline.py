@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rosterline.llm import exact, packing, pii, quality, similar
+from rosterline.llm import exact, packing, pii, quality, simhash
 from rosterline.llm.common import documents, materialize, one_row_each, text_keys, without_rows
 
 
@@ -22,10 +22,12 @@ def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct_enough(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts linked by 0.8 or more of their five-word shingles, the row with the smallest doc_id (nulls are largest); of several with that, the
-    one whose text has the smallest hash; of rows that share both, the one with the largest other columns."""
+    """Of each group of texts whose SimHash fingerprints of four-word shingles are linked by at most 4 differing bits, the
+    row with the smallest doc_id (nulls are largest); of several with that, the one whose text has the smallest hash; of
+    rows that share both, the one with the largest other columns."""
     names = ["doc_id", "_k1", "_k2"]
-    grouped = materialize(similar.similar_groups(docs), "near")
+    rows = simhash.with_fingerprint(docs.select("doc_id", *text_keys("text"), "text"), names)
+    grouped = materialize(simhash.near_groups(materialize(rows, "fingerprints"), "doc_id"), "near")
     own = F.struct(F.col("doc_id").isNull().alias("none"), *names)
     first = grouped.groupBy("label").agg(F.min(own).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     several = materialize(grouped.join(first, "label").select(*names, own.eqNullSafe(F.col("first")).alias("kept")), "several")
