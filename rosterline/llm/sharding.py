@@ -75,8 +75,16 @@ def shard_table(docs: DataFrame, shards: int = 16, key: str = "doc_id", text: st
         "grown_shard")
 
 
-def write_shards(docs: DataFrame, path: str, keys: Sequence[str], shards: int, files: int = 1) -> None:
-    """Write the rows as Parquet, a folder per shard with up to `files` files, so that one shard is not one task."""
+def write_shards(docs: DataFrame, path: str, keys: Sequence[str], shards: int, files: int = 1) -> str:
+    """Write the rows as Parquet, a folder per shard with up to `files` files, so that one shard is not one task. Gives
+    the name of the folders' column: `shard`, or the first of `shard_1`, `shard_2` and so on that no column of docs has in any
+    case, so all columns of docs are kept."""
+    taken = {c.lower() for c in docs.columns}
+    name, n = "shard", 0
+    while name in taken:
+        n += 1
+        name = f"shard_{n}"
     spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(files))
-    assign_shards(docs, keys, shards).repartition(shards * files, "shard", spread) \
-        .write.partitionBy("shard").parquet(path)
+    assign_shards(docs, keys, shards, name).repartition(shards * files, name, spread) \
+        .write.partitionBy(name).parquet(path)
+    return name

@@ -64,3 +64,12 @@ def test_written_shards(spark, corpus, tmp_path):
     back = spark.read.parquet(str(tmp_path / "s"))
     want = {r.doc_id: r.shard for r in S.assign_shards(corpus([str(i) for i in range(100)]), ["doc_id"], 4).collect()}
     assert {r.doc_id: r["shard"] for r in back.collect()} == want
+
+
+def test_written_shards_keep_columns_of_that_name(spark, corpus, tmp_path):
+    docs = corpus([str(i) for i in range(40)]).withColumn("Shard", F.lit("own")).withColumn("shard_1", F.col("doc_id"))
+    name = S.write_shards(docs, str(tmp_path / "s"), ["doc_id"], 4)
+    back = spark.read.parquet(str(tmp_path / "s")).collect()
+    want = {r.doc_id: r.at for r in S.assign_shards(docs, ["doc_id"], 4, "at").collect()}
+    assert name == "shard_2" and len(back) == 40
+    assert all((r["Shard"], r["shard_1"], r[name]) == ("own", r["doc_id"], want[r["doc_id"]]) for r in back)
