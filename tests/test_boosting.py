@@ -172,3 +172,20 @@ def test_searches_fail_candidate_by_candidate(spark):
         single = [auroc_value(fit_model(spec.with_params(**trial.params), rows.filter(f"fold != {f}")).score(rows.filter(f"fold = {f}")),
                               "m", "drafted") for f in range(3)]
         assert trial.score == pytest.approx(np.mean(single), abs=0.05)  # bins follow all folds here
+
+
+def test_of_two_children_only_the_smaller_is_counted(monkeypatch):
+    """A level's histograms are those of all its rows, at half of their number at most."""
+    rng = np.random.default_rng(11)
+    n, counted = 4000, []
+    bins = [rng.integers(0, 9, size=(5, n)).astype(np.uint8) for _ in range(2)]
+    nodes = [rng.choice(6, n, p=[.3, .1, .05, .35, .1, .1]) for _ in bins]
+    nodes[0][:50] = -1
+    stats = [tuple(rng.integers(-1000, 1000, n).astype(float) for _ in range(2)) + (None,) for _ in bins]
+    columns, whole = np.array([0, 2, 4]), B._histograms
+    every = sum(whole(b, at, 6, g, h, 9, columns) for b, at, (g, h, _) in zip(bins, nodes, stats))
+    parents = every.reshape(3, 2, *every.shape[1:]).sum(1)
+    monkeypatch.setattr(B, "_histograms", lambda b, at, *rest: counted.append((at >= 0).sum()) or whole(b, at, *rest))
+    assert (B._level(bins, nodes, 6, stats, 9, columns, parents) == every).all()
+    assert sum(counted) <= sum((at >= 0).sum() for at in nodes) / 2
+    assert not every[:, [1, 3]].any()  # features the tree doesn't see
