@@ -207,3 +207,32 @@ def test_selection(spark):
     left = S.remove_features(df, bottom_numeric=1, bottom_categorical=1, trees=5, depth=3)
     assert "noise" not in left.columns and "under_score" not in left.columns
     assert S.importance_topk(df, "drafted", ["good", "noise"], ["tell"], k=2, trees=10, depth=2).count() == 2
+
+
+@pytest.mark.parametrize("whole_bytes", [1 << 20, 0])
+def test_silhouettes_of_several_clusterings_share_distances(spark, whole_bytes):
+    from rosterline.operators.silhouettes import mean_plain_silhouettes
+
+    rng = np.random.default_rng(8)
+    rows = [(float(a) + 1e5, float(b), int(i % 3) * 10, int(a > 0), 7 if i else 9) for i, (a, b) in enumerate(rng.normal(size=(150, 2)))]
+    rows += rows[:5]  # copies
+    df = spark.createDataFrame(rows, "x double, y double, c1 int, c2 int, c3 int").repartition(3)
+    got = mean_plain_silhouettes(df, ["x", "y"], ["c1", "c2", "c3"], whole_bytes=whole_bytes)
+    each = [R.plain_silhouette(df, ["x", "y"], c).agg(F.avg("silhouette")).first()[0] for c in ("c1", "c2", "c3")]
+    assert got == pytest.approx(each, rel=1e-9, abs=1e-9)
+    with pytest.raises(ValueError, match="two clusters"):
+        mean_plain_silhouettes(df.withColumn("c2", F.lit(1)), ["x", "y"], ["c1", "c2"], whole_bytes=whole_bytes)
+    with pytest.raises(ValueError, match="finite"):
+        mean_plain_silhouettes(df.withColumn("x", F.lit(None).cast("double")), ["x", "y"], ["c1", "c2"], whole_bytes=whole_bytes)
+
+
+def test_a_distance_serves_all_groups_of_a_row():
+    from rosterline.operators.silhouettes import distance_sums, labelled_sums
+
+    rng = np.random.default_rng(9)
+    v, t = rng.normal(size=(130, 4)), rng.normal(size=(5000, 4))
+    t[:130] = v
+    labels = np.stack((rng.integers(0, 2, 5000), 2 + rng.integers(0, 3, 5000)), axis=1)
+    got = labelled_sums(v, t, labels, 5)
+    for g in range(5):
+        assert got[:, g] == pytest.approx(distance_sums(v, t[(labels == g).any(1)], np.zeros(1, int))[:, 0], rel=1e-12)
