@@ -78,9 +78,13 @@ def phrase_filter(phrases: DataFrame) -> Broadcast:
 
 # --- counting in tasks ---------------------------------------------------------------
 
-def _tokens(texts: list[bytes]) -> list[bytes]:
-    """Words of the texts, with an END after each piece (and some more)."""
-    return (b".".join(texts) + b".").lower().translate(_TO_END).replace(b".", b" . ").split()
+def _tokens(texts: list[bytes]) -> pa.DictionaryArray:
+    """Words of the texts, with an END after each piece (and some more), as places in their vocabulary. Arrow cuts them: an
+    object a word would take several times the text."""
+    body = (b".".join(texts) + b".").lower().translate(_TO_END).replace(b".", b" . ").strip()
+    whole = pa.Array.from_buffers(pa.large_string(), 1, [None, pa.py_buffer(np.array([0, len(body)], np.int64)), pa.py_buffer(body)])
+    cut = pc.ascii_split_whitespace(whole).flatten().dictionary_encode()
+    return pa.DictionaryArray.from_arrays(cut.indices, cut.dictionary.cast(pa.large_binary()).cast(pa.binary()))
 
 
 def _listed(lang: str, prefixes: pa.Array, owner: np.ndarray, part: np.ndarray, nexts: pa.Array,
@@ -104,8 +108,9 @@ def _listed(lang: str, prefixes: pa.Array, owner: np.ndarray, part: np.ndarray,
 
 def stripes_of(lang: str, texts: list[bytes], size: int, bits: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     """Stripes of prefixes of `size` words of the texts."""
-    coded = pa.array(_tokens(texts), pa.binary()).dictionary_encode()
+    coded = _tokens(texts)
     ids, words = coded.indices.to_numpy(), coded.dictionary
+    del coded
     known = words.to_pylist()
     hashes = _hashed(known)
     end = known.index(END.encode())
@@ -131,18 +136,22 @@ def stripes_of(lang: str, texts: list[bytes], size: int, bits: np.ndarray | None
     at = np.flatnonzero(whole)
     frequent[at] = contains(bits, h[at])
     at = np.flatnonzero(frequent[:n])
-    follow = ids[at + size].astype(np.int64)
     wide = len(known) + 2
-    entry = np.where(follow == end, len(known), np.where(frequent[at + 1], follow, len(known) + 1))
-    code = ids[at].astype(np.int64)
+    owner = np.unique(ids[at], return_inverse=True)[1]
     for j in range(1, size):
-        code = np.unique(code, return_inverse=True)[1] * wide + ids[at + j]
-    _, sample, owner = np.unique(code, return_index=True, return_inverse=True)
-    pairs, counts = np.unique(owner * wide + entry, return_counts=True)
-    owner, entry = pairs // wide, pairs % wide
-    prefixes = [words.take(pa.array(ids[at[sample] + j])) for j in range(size)]
+        owner = np.unique(owner * wide + ids[at + j], return_inverse=True)[1]
+    follow = ids[at + size]
+    pairs = owner * wide
+    pairs += np.where(follow == end, len(known), np.where(frequent[at + 1], follow, len(known) + 1))
+    sample = np.zeros(owner.max(initial=-1) + 1, np.int64)
+    sample[owner[::-1]] = at[::-1]  # a place of each prefix
+    del owner, follow, at, whole, frequent
+    common = contains(bits, _mixed(h[sample], _COMMON))
+    del h
+    prefixes = [words.take(pa.array(ids[sample + j])) for j in range(size)]
     prefix = pc.binary_join_element_wise(*prefixes, b" ") if size > 1 else prefixes[0]
-    common = contains(bits, _mixed(h[at[sample]], _COMMON))
+    pairs, counts = np.unique(pairs, return_counts=True)
+    owner, entry = pairs // wide, pairs % wide
     part = np.where(common[owner], np.concatenate(((hashes % np.uint64(PARTS)).astype(np.int64), [0, 0]))[entry], 0)
     order = np.lexsort((part, owner))
     names = pa.concat_arrays([words, pa.array([END.encode(), RARE.encode()])])
