@@ -189,3 +189,24 @@ def test_of_two_children_only_the_smaller_is_counted(monkeypatch):
     assert (B._level(bins, nodes, 6, stats, 9, columns, parents) == every).all()
     assert sum(counted) <= sum((at >= 0).sum() for at in nodes) / 2
     assert not every[:, [1, 3]].any()  # features the tree doesn't see
+
+
+def test_features_are_counted_together(monkeypatch):
+    """Histograms in a task are those of each feature alone, at a fraction of the passes over the rows."""
+    rng = np.random.default_rng(3)
+    n, cuts = 20_000, np.array([9, 1, 1, 1, 2, 12, 1, 40])
+    blocks = [B.Block(np.stack([rng.integers(0, c + 2, n) for c in cuts]).astype(np.uint8), np.zeros(n), np.ones(n), np.zeros(n), np.zeros(n))
+              for _ in range(2)]
+    stats = [(rng.integers(-1000, 1000, n).astype(float), rng.integers(0, 1000, n).astype(float), None) for _ in blocks]
+    passes, whole = [], np.bincount
+    rows = B._Rows(blocks, cuts)
+    monkeypatch.setattr(np, "bincount", lambda at, w=None, minlength=0: passes.append(len(at)) or whole(at, w, minlength))
+    for nodes, columns in ((1, np.arange(8)), (3, np.array([0, 2, 5])), (400, np.arange(8))):
+        ranks = [rng.integers(-1 if nodes > 1 else 0, nodes, n) for _ in blocks]
+        each = sum(B._histograms(b.bins, r, nodes, g, h, 42, columns) for b, r, (g, h, _) in zip(blocks, ranks, stats))
+        alone = sum(passes)
+        passes.clear()
+        got = rows.counted(ranks, nodes, stats, columns)
+        assert (got[:, columns] == each[:, columns]).all()
+        assert nodes > 1 or sum(passes) <= alone / 2
+        passes.clear()
