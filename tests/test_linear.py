@@ -79,3 +79,20 @@ def test_searches(rows):
     assert log[1].score is None and "above 0" in log[1].error and min(log[0].score, log[2].score) > 0.9
     held = T.search_holdout(ModelSpec("m", "svm"), rows.filter("fold > 0"), rows.filter("fold = 0"), [{"C": 0.1}, {"C": 1.0}])
     assert all(t.score > 0.9 for t in held)
+
+
+def test_shared_passes_begin_close_to_the_solution(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(8000, 4))
+    y = (x @ [1.0, -2.0, 0.3, 0.0] + rng.normal(size=8000) > 0.5).astype(int)
+    data = spark.createDataFrame([(i, r.tolist(), int(t)) for i, (r, t) in enumerate(zip(x, y))], "row_key long, x array<double>, drafted int") \
+        .withColumn("features", array_to_vector("x"))
+    dense, passes, one = L.dense_rows(data), [], L._pass
+    monkeypatch.setattr(L, "_pass", lambda *a: passes.append(a[1][0].kind) or one(*a))
+    for kind, most in (("logistic", 4), ("svm", 30)):  # from zero on: 8 of the first kind
+        s = [L.LinearSetting(kind, c) for c in (0.01, 1.0)]
+        whole = L.fit_linear_many(dense, s)
+        assert np.allclose(whole, L.fit_linear_many(dense, s, task_bytes=dense.size // 2), atol=1e-3 if kind == "svm" else 1e-7)
+        assert 0 < passes.count(kind) <= most, passes.count(kind)
+    monkeypatch.setattr(L, "PART_BYTES", dense.size // 20)
+    assert L.dense_rows(data).blocks.select("part").distinct().count() > 8
