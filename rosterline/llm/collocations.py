@@ -2,12 +2,12 @@
 
 A stripe is a prefix of 0 to 4 words with a counter of the words that follow it; the end of a piece is one more entry.
 Tasks count stripes of their own texts, and stripes of the same prefix are merged entry by entry. A merged stripe gives all
-that scoring needs: its entries are the counts of phrases one word longer, their total is the count of the prefix, and
-the largest of them tells whether a longer phrase covers the prefix.
+that scoring needs: its entries are the counts of phrases one word longer, and the largest of them tells whether a longer phrase
+covers the prefix. The count of the prefix is an entry of the level before.
 
 Levels go from the empty prefix up. A phrase can only be frequent if the phrases without its first and without its last
 word are, so a level counts prefixes that were frequent on the level before, and following words whose own
-phrase was; others are one common entry of the stripe, so totals stay whole. What was frequent reaches the tasks as a
+phrase was; other words, and prefixes that only they follow, leave their tasks on no level. What was frequent reaches the tasks as a
 Bloom filter of fixed size: it lets some phrases through in vain, but never holds one back, and counts are exact.
 
 The stripe of a very common prefix can be as long as the vocabulary, so it is dealt into parts by a hash of the following word.
@@ -17,6 +17,7 @@ Parts are merged in the order of a sort, one at a time."""
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -106,8 +107,8 @@ def _listed(lang: str, prefixes: pa.Array, owner: np.ndarray, part: np.ndarray,
             names=["lang", "prefix", "part", "nexts", "counts"])
 
 
-def stripes_of(lang: str, texts: list[bytes], size: int, bits: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """Stripes of prefixes of `size` words of the texts."""
+def stripes_of(lang: str, texts: list[bytes], size: int, bits: np.ndarray | None, ends: bool = True) -> Iterator[pa.RecordBatch]:
+    """Stripes of prefixes of `size` words of the texts. Without ends, entries of what can't be part of a frequent phrase are left out."""
     coded = _tokens(texts)
     ids, words = coded.indices.to_numpy(), coded.dictionary
     del coded
@@ -135,7 +136,7 @@ def stripes_of(lang: str, texts: list[bytes], size: int, bits: np.ndarray | None
     frequent = np.zeros(n + 2, bool)
     at = np.flatnonzero(whole)
     frequent[at] = contains(bits, h[at])
-    at = np.flatnonzero(frequent[:n])
+    at = np.flatnonzero(frequent[:n] if ends else frequent[:n] & frequent[1:n + 1] & (ids[size:] != end))
     wide = len(known) + 2
     owner = np.unique(ids[at], return_inverse=True)[1]
     for j in range(1, size):
@@ -166,7 +167,7 @@ def _scan(size: int, bits) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, texts in held.items():
-                yield from stripes_of(lang, texts, size, flags)
+                yield from stripes_of(lang, texts, size, flags, ends=False)
             held.clear()
 
         for batch in batches:
@@ -232,7 +233,7 @@ def _entries(stripes: DataFrame, least: int) -> DataFrame:
 def stripe_levels(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST,
                   longest: int = LONGEST) -> list[DataFrame]:
     """The merged stripes of prefixes of 0 to longest - 1 words, as written tables (lang, prefix, part, nexts, counts).
-    Stripes of the empty prefix hold all words; later ones what can be part of a phrase with `least` occurrences."""
+    Stripes of the empty prefix hold all words; later ones only what can be part of a phrase with `least` occurrences."""
     rows = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit(UNKNOWN)).cast("string").alias("lang"),
                        F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("text"))
     levels: list[DataFrame] = []
@@ -269,20 +270,15 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     own = F.filter(F.arrays_zip("nexts", "counts"), lambda e: ~e["nexts"].isin(END, RARE))
     best = F.array_max(F.transform(own, lambda e: e["counts"]))
     words = levels[0].groupBy("lang").agg(F.sum(total).alias("n"))
-    known = None
-    found = None
-    for stripes in levels[1:]:
-        prefix = stripes.groupBy("lang", F.col("prefix").alias("phrase")).agg(F.sum(total).alias("f"), F.max(best).alias("longer"))
-        entry = _entries(stripes, least)
-        known = prefix if known is None else known.union(prefix)
-        found = entry if found is None else found.union(entry)
-    known = materialize(known.filter(F.col("f") >= least), "prefixes")
-    found = materialize(found, "phrases")
+    longer = [t.groupBy("lang", F.col("prefix").alias("phrase")).agg(F.max(best).alias("longer")) for t in levels[1:]]
+    longer = materialize(reduce(DataFrame.union, longer).filter(F.col("longer") >= least), "longer")
+    found = materialize(reduce(DataFrame.union, [_entries(t, least) for t in levels[1:]]), "phrases")
+    known = materialize(_entries(levels[0], least), "words").union(found).select("lang", "phrase", F.col("a").alias("f"))
     tail = F.expr("substring(phrase, instr(phrase, ' ') + 1)")
     before = found.groupBy("lang", tail.alias("phrase")).agg(F.max("a").alias("earlier"))
     covered = F.greatest(F.coalesce("longer", F.lit(0)), F.coalesce("earlier", F.lit(0)))
     covered = F.when(covered >= least, covered).otherwise(F.lit(0))  # only a candidate can cover
-    kept = found.join(known.select("lang", "phrase", "longer").hint("merge"), ["lang", "phrase"], "left") \
+    kept = found.join(longer.hint("merge"), ["lang", "phrase"], "left") \
         .join(before.hint("merge"), ["lang", "phrase"], "left").filter(100 * covered < cover * F.col("a")) \
         .select("lang", "phrase", "a", F.split("phrase", " ").alias("w"))
     cut = kept.select("lang", "phrase", "a", "w", F.explode(F.sequence(F.lit(1), F.size("w") - 1)).alias("k")).select(

@@ -141,3 +141,15 @@ def test_stripes_of_a_chunk_as_counted_plainly():
         assert got == want
     assert not list(C.stripes_of("en", [b"", b" \t"], 1, everything))
     assert sum(b.num_rows for b in C.stripes_of("en", [b"", b" \t"], 0, None)) == 0
+
+
+def test_what_cannot_be_frequent_leaves_no_task(spark):
+    """Prefixes that only rare words or ends of pieces follow have no stripes; counts of prefixes come from the level before."""
+    rng = random.Random(2)
+    rows = [(". ".join(f"often seen word{i}{j}" for j in range(3)), "en") for i in range(20)] + [("often seen", "en")] * 5
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    levels = C.stripe_levels(docs, least=10)
+    assert [tuple(r) for r in levels[1].select("prefix", "nexts", "counts").collect()] == [("often", ["seen"], [65])]
+    assert not any(t.count() for t in levels[2:])
+    assert sorted(tuple(r) for r in C.collocations(docs, least=10).collect()) == slow(rows, 10)
