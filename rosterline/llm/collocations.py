@@ -233,7 +233,7 @@ def _entries(stripes: DataFrame, least: int) -> DataFrame:
 def stripe_levels(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST,
                   longest: int = LONGEST) -> list[DataFrame]:
     """The merged stripes of prefixes of 0 to longest - 1 words, as written tables (lang, prefix, part, nexts, counts).
-    Stripes of the empty prefix hold all words; later ones only what can be part of a phrase with `least` occurrences."""
+    Stripes of the empty prefix hold all words; later ones only words that make a phrase with `least` occurrences."""
     rows = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit(UNKNOWN)).cast("string").alias("lang"),
                        F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("text"))
     levels: list[DataFrame] = []
@@ -242,6 +242,10 @@ def stripe_levels(docs: DataFrame, text: str = "text", lang: str = "lang", least
         order = ["lang", "prefix", "part"]
         merged = rows.mapInArrow(_scan(size, bits), STRIPES).repartition(*order).sortWithinPartitions(*order) \
             .mapInArrow(_merge, STRIPES)
+        if size:  # nothing asks for rare entries any more
+            entries = F.filter(F.arrays_zip("nexts", "counts"), lambda e: e["counts"] >= least)
+            merged = merged.select("lang", "prefix", "part", entries.alias("e")).filter(F.size("e") > 0) \
+                .select("lang", "prefix", "part", F.col("e.nexts").alias("nexts"), F.col("e.counts").alias("counts"))
         levels.append(materialize(merged, f"stripes-{size}"))
         if size + 1 < longest:
             bits = phrase_filter(_entries(levels[-1], least))
