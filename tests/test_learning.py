@@ -236,3 +236,27 @@ def test_a_distance_serves_all_groups_of_a_row():
     got = labelled_sums(v, t, labels, 5)
     for g in range(5):
         assert got[:, g] == pytest.approx(distance_sums(v, t[(labels == g).any(1)], np.zeros(1, int))[:, 0], rel=1e-12)
+
+
+def test_rows_of_one_partition_meet_the_others_in_many_tasks(spark):
+    rows = [(float(i % 7), float(i % 11), i % 3) for i in range(200)]
+    df = spark.createDataFrame(rows, "x double, y double, c int").coalesce(1)
+    assert R.plain_silhouette(df, ["x", "y"], "c").rdd.getNumPartitions() >= 8
+
+
+def test_embedding_columns_cast_no_vector_whole(spark, sf_dir):
+    from rosterline.plans.vectors import _embedding_columns
+
+    emb, cols = _embedding_columns(spark, sf_dir)
+    assert "array<double>" not in emb._jdf.queryExecution().optimizedPlan().toString()
+    assert emb.schema[cols[0]].dataType.simpleString() == "double"
+
+
+def test_distance_sums_of_groups_across_tiles():
+    from rosterline.operators.silhouettes import distance_sums
+
+    rng = np.random.default_rng(10)
+    v, t = rng.normal(size=(70, 3)), rng.normal(size=(9000, 3))
+    starts = np.array([0, 10, 4096, 4097, 8500])
+    each = np.sqrt(((v[:, None] - t[None]) ** 2).sum(axis=2))
+    assert distance_sums(v, t, starts) == pytest.approx(np.add.reduceat(each, starts, axis=1), rel=1e-12)
