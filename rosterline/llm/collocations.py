@@ -51,8 +51,10 @@ STRIPES = "lang string, prefix string, part int, nexts array<string>, counts arr
 
 def _mixed(h: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Hash of a phrase with one more word."""
-    h = (h + word) * np.uint64(0x9E3779B97F4A7C15)
-    return h ^ (h >> np.uint64(29))
+    h = h + word
+    h *= np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(29)
+    return h
 
 
 def _hashed(words: list[bytes]) -> np.ndarray:
@@ -88,9 +90,9 @@ def _tokens(texts: list[bytes]) -> pa.DictionaryArray:
     return pa.DictionaryArray.from_arrays(cut.indices, cut.dictionary.cast(pa.large_binary()).cast(pa.binary()))
 
 
-def _listed(lang: str, prefixes: pa.Array, owner: np.ndarray, part: np.ndarray, nexts: pa.Array,
+def _listed(lang: str, prefixes: pa.Array, owner: np.ndarray, part: np.ndarray, names: pa.Array, entry: np.ndarray,
             counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Entries, sorted by owner (a place in prefixes) and part, as stripes."""
+    """Entries (places in names), sorted by owner (a place in prefixes) and part, as stripes."""
     if not len(owner):
         return
     new = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (part[1:] != part[:-1]))))
@@ -102,11 +104,18 @@ def _listed(lang: str, prefixes: pa.Array, owner: np.ndarray, part: np.ndarray,
         yield pa.RecordBatch.from_arrays(
             [pa.array([lang] * len(rows), pa.string()), prefixes.take(pa.array(owner[rows])).cast(pa.string()),
              pa.array(part[rows].astype(np.int32)),
-             pa.ListArray.from_arrays(offsets, nexts[first:last].cast(pa.string())),
+             pa.ListArray.from_arrays(offsets, names.take(pa.array(entry[first:last])).cast(pa.string())),
              pa.ListArray.from_arrays(offsets, pa.array(counts[first:last].astype(np.int64)))],
             names=["lang", "prefix", "part", "nexts", "counts"])
 
 
+def _ranks(ids: np.ndarray, many: int) -> np.ndarray:
+    """The place of each number among the distinct ones, all of which are below `many`."""
+    seen = np.zeros(many, bool)
+    seen[ids] = True
+    return (np.cumsum(seen) - 1)[ids]
+
+
 def stripes_of(lang: str, texts: list[bytes], size: int, bits: np.ndarray | None, ends: bool = True) -> Iterator[pa.RecordBatch]:
     """Stripes of prefixes of `size` words of the texts. Without ends, entries of what can't be part of a frequent phrase are left out."""
     coded = _tokens(texts)
@@ -120,8 +129,7 @@ def stripes_of(lang: str, texts: list[bytes], size: int, bits: np.ndarray | None
         kept = np.array([i for i in range(len(known)) if i != end], np.int64)
         part = (hashes[kept] % np.uint64(ROOT_PARTS)).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        yield from _listed(lang, pa.array([b""]), np.zeros(len(kept), np.int64), part[order],
-                           words.take(pa.array(kept[order])), counts[kept[order]])
+        yield from _listed(lang, pa.array([b""]), np.zeros(len(kept), np.int64), part[order], words, kept[order], counts[kept[order]])
         return
     n = len(ids) - size
     if n <= 0:
@@ -137,26 +145,41 @@ def stripes_of(lang: str, texts: list[bytes], size: int, bits: np.ndarray | None
     at = np.flatnonzero(whole)
     frequent[at] = contains(bits, h[at])
     at = np.flatnonzero(frequent[:n] if ends else frequent[:n] & frequent[1:n + 1] & (ids[size:] != end))
+    del whole
     wide = len(known) + 2
-    owner = np.unique(ids[at], return_inverse=True)[1]
+    owner = _ranks(ids[at], len(known))  # words are numbered already, so they need no sorting
     for j in range(1, size):
-        owner = np.unique(owner * wide + ids[at + j], return_inverse=True)[1]
-    follow = ids[at + size]
-    pairs = owner * wide
-    pairs += np.where(follow == end, len(known), np.where(frequent[at + 1], follow, len(known) + 1))
+        owner *= wide
+        owner += ids[at + j]
+        owner = np.unique(owner, return_inverse=True)[1]
     sample = np.zeros(owner.max(initial=-1) + 1, np.int64)
     sample[owner[::-1]] = at[::-1]  # a place of each prefix
-    del owner, follow, at, whole, frequent
     common = contains(bits, _mixed(h[sample], _COMMON))
     del h
+    follow = ids[at + size]
+    follow[~frequent[at + 1] & (follow != end)] = len(known) + 1
+    follow[follow == end] = len(known)
+    del at, frequent
+    pairs = owner  # in its place
+    pairs *= wide
+    pairs += follow
+    del owner, follow
     prefixes = [words.take(pa.array(ids[sample + j])) for j in range(size)]
     prefix = pc.binary_join_element_wise(*prefixes, b" ") if size > 1 else prefixes[0]
     pairs, counts = np.unique(pairs, return_counts=True)
-    owner, entry = pairs // wide, pairs % wide
-    part = np.where(common[owner], np.concatenate(((hashes % np.uint64(PARTS)).astype(np.int64), [0, 0]))[entry], 0)
-    order = np.lexsort((part, owner))
+    owner = (pairs // wide).astype(np.int32)
+    pairs -= owner * np.int64(wide)
+    entry, counts = pairs.astype(np.int32), counts.astype(np.int32)
+    del pairs
+    part = np.zeros(len(owner), np.int8)
+    spread = common[owner]
+    if spread.any():  # else they are in order
+        part[spread] = np.concatenate(((hashes % np.uint64(PARTS)).astype(np.int8), np.zeros(2, np.int8)))[entry[spread]]
+        order = np.lexsort((part, owner))
+        owner, part, entry, counts = owner[order], part[order], entry[order], counts[order]
+        del order
     names = pa.concat_arrays([words, pa.array([END.encode(), RARE.encode()])])
-    yield from _listed(lang, prefix, owner[order], part[order], names.take(pa.array(entry[order])), counts[order])
+    yield from _listed(lang, prefix, owner, part, names, entry, counts)
 
 
 def _scan(size: int, bits) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -168,12 +191,15 @@ def _scan(size: int, bits) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, texts in held.items():
                 yield from stripes_of(lang, texts, size, flags, ends=False)
+                texts.clear()
+                pa.default_memory_pool().release_unused()
             held.clear()
 
         for batch in batches:
-            for lang, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held.setdefault(lang, []).append(body)
-                weight += len(body)
+            for lang, body in zip(batch.column(0), batch.column(1), strict=True):  # an object at a time, not for the whole batch
+                text = body.as_py()
+                held.setdefault(lang.as_py(), []).append(text)
+                weight += len(text)
                 if weight >= CHUNK_BYTES:
                     yield from flush()
                     weight = 0

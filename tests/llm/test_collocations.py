@@ -153,3 +153,25 @@ def test_what_cannot_be_frequent_leaves_no_task(spark):
     assert [tuple(r) for r in levels[1].select("prefix", "nexts", "counts").collect()] == [("often", ["seen"], [65])]
     assert not any(t.count() for t in levels[2:])
     assert sorted(tuple(r) for r in C.collocations(docs, least=10).collect()) == slow(rows, 10)
+
+
+def test_stripes_of_a_chunk_take_few_bytes_a_word():
+    import tracemalloc
+
+    import numpy as np
+
+    from rosterline.llm import blooms
+
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) for _ in range(20000)]
+    texts = [" ".join(rng.choices(words, k=400)).encode() for _ in range(1000)]
+    rare = np.zeros(1 << (blooms.FILTER_BITS - 3), np.uint8)
+    rare[:] = 0b01111111  # most prefixes are frequent, and few of them common
+    whole = np.full(1 << (blooms.FILTER_BITS - 3), 255, np.uint8)
+    for bits, most in ((rare, 55), (whole, 80)):
+        tracemalloc.start()
+        try:
+            assert sum(b.num_rows for b in C.stripes_of("en", texts, 1, bits, ends=False)) > 0
+            assert tracemalloc.get_traced_memory()[1] < most * 400_000
+        finally:
+            tracemalloc.stop()
