@@ -70,3 +70,16 @@ def test_many_quantiles_of_many_columns_take_few_passes(spark):
     for i, c in enumerate(columns):
         assert got[c] == pytest.approx(list(np.quantile(values[:, i], probs)), rel=1e-12, abs=1e-12)
     assert seconds < 30
+
+
+def test_sketches_of_columns_meet_in_tasks_of_their_own(spark, monkeypatch):
+    from rosterline.operators import quantiles as Q
+
+    wide = []
+    plain = Q._agg_row
+    monkeypatch.setattr(Q, "_agg_row", lambda df, exprs: (wide.append([str(e) for e in exprs]), plain(df, exprs))[1])
+    df = spark.range(3000).select((F.col("id") * 7919 % 3001).cast("double").alias("a"), (F.col("id") % 50).cast("double").alias("b"))
+    got = Q.exact_quantiles(df, {c: (F.col(c), [0.25, 0.5, 0.9]) for c in "ab"}, direct=100, accuracy=100)
+    rows = df.toPandas()
+    assert got == {c: pytest.approx(list(rows[c].quantile([0.25, 0.5, 0.9]))) for c in "ab"}
+    assert not any("percentile_approx" in e for exprs in wide for e in exprs)
