@@ -30,6 +30,16 @@ def rows(spark):
     return df.select("row_key", array_to_vector("x").alias("features"), "drafted", F.col("row_key").alias("player_id")).cache()
 
 
+def test_forests_keep_places_of_bounded_size(spark, rows, monkeypatch):
+    """The places of rows in trees are kept up to a bound, and the forest is the same with and without them."""
+    spec = M.ModelSpec("forest", "forest", {"trees": 8, "depth": 6})
+    assert M.estimator(spec, 500).getCacheNodeIds() and not M.estimator(spec, M.NODE_BYTES // 32 + 1).getCacheNodeIds()
+    scores = lambda: [r.forest for r in M.fit_model(spec, rows).score(rows).orderBy("row_key").collect()]
+    kept = scores()
+    monkeypatch.setattr(M, "NODE_BYTES", 0)
+    assert scores() == kept
+
+
 @pytest.mark.parametrize("spec", KINDS, ids=lambda s: s.kind)
 def test_models(spark, rows, spec, tmp_path):
     model = M.fit_model(spec, rows)
@@ -260,3 +270,25 @@ def test_distance_sums_of_groups_across_tiles():
     starts = np.array([0, 10, 4096, 4097, 8500])
     each = np.sqrt(((v[:, None] - t[None]) ** 2).sum(axis=2))
     assert distance_sums(v, t, starts) == pytest.approx(np.add.reduceat(each, starts, axis=1), rel=1e-12)
+
+
+def test_mean_silhouettes_of_many_rows_take_no_copies(spark, monkeypatch):
+    """Beyond the byte bound parts meet one after another for all clusterings: rows are not copied to blocks of other rows."""
+    monkeypatch.setattr(SIL, "_in_blocks", None)
+    monkeypatch.setattr(SIL, "PACK_ROWS", 16)
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=(150, 2)), 1)
+    x[:20] = x[0]
+    labels = np.stack([rng.integers(0, k, 150) for k in (2, 3, 6)], axis=1)
+    labels[7, 2] = 9  # alone in its cluster
+    df = spark.createDataFrame([(*map(float, v), *map(int, c)) for v, c in zip(x, labels)], "a double, b double, c0 int, c1 int, c2 int")
+    got = SIL.mean_plain_silhouettes(df, ["a", "b"], ["c0", "c1", "c2"], whole_bytes=16 * 40 * 2)
+    far = np.sqrt(((x[:, None] - x) ** 2).sum(2))
+    for c, mean in zip(labels.T, got):
+        each = []
+        for i in range(150):
+            others = [far[i, c == g].mean() for g in set(c.tolist()) - {c[i]}]
+            inside = far[i, c == c[i]].sum() / max((c == c[i]).sum() - 1, 1)
+            top = max(inside, min(others))
+            each.append(0.0 if (c == c[i]).sum() == 1 or top <= 0 else (min(others) - inside) / top)
+        assert mean == pytest.approx(np.mean(each), rel=1e-12)
